@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame
@@ -51,3 +52,34 @@ class BoundedMemo(dict):
     def room_for(self, n: int) -> None:
         if len(self) + n > self.limit:
             self.clear()
+
+
+class TokenRows:
+    """Rows of numbers for distinct tokens, computed once each and memoised up to ``limit`` tokens."""
+
+    def __init__(self, compute, width: int, dtype, limit: int = 600_000):
+        self.compute, self.memo, self.limit = compute, {}, limit
+        self.table = np.zeros((1024, width), dtype=dtype)
+
+    def _learn(self, tokens: list) -> None:
+        n = len(self.memo)
+        while n + len(tokens) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        for at in range(0, len(tokens), 50_000):
+            part = tokens[at : at + 50_000]
+            self.table[n : n + len(part)] = self.compute(part)
+            self.memo.update(zip(part, range(n, n + len(part)), strict=True))
+            n += len(part)
+
+    def rows(self, docs: list[list]) -> list[np.ndarray]:
+        """Index into :attr:`table` of each document's tokens; good until the next call."""
+        found = [list(map(self.memo.get, tokens)) for tokens in docs]
+        gaps = {i: {t for t, r in zip(docs[i], rows, strict=True) if r is None} for i, rows in enumerate(found) if None in rows}
+        unseen = set().union(*gaps.values())
+        if unseen and len(self.memo) + len(unseen) > self.limit:
+            self.memo.clear()
+            unseen, gaps = set().union(*docs), dict.fromkeys(range(len(docs)))
+        self._learn(list(unseen))
+        for i in gaps:
+            found[i] = list(map(self.memo.__getitem__, docs[i]))
+        return [np.array(r, dtype=np.int64) for r in found]

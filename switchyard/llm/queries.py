@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchyard.llm import line_dedup, packing, sentencepiece_codec, url_filter
+from switchyard.llm import language_id, line_dedup, packing, quality, sentencepiece_codec, url_filter
+from switchyard.llm.arrowtext import fold_crc
 
 URL_RULES = [
     url_filter.parse_rule("block", "com/en/"),
@@ -28,6 +29,31 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def held_out(modulus: int):
+    """Whether a document is kept out of training."""
+    return F.pmod(fold_crc("doc_id"), F.lit(modulus)) == 0
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    return quality.fit(docs.where(~held_out(5)), labels.where(~held_out(5)))
+
+
+def fit_languages(docs: DataFrame) -> language_id.LanguageModels:
+    return language_id.fit(docs.where(~held_out(5)))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, fit_quality(docs, table(spark, sf_dir, "labels")), held_out=held_out(5))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, fit_languages(docs), held_out=held_out(5))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids (as digests), the decoded text's hash and parity for every document."""
     return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
@@ -53,6 +79,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
+        "op3_language_id": op3_language_id,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_line_dedup": op7_line_dedup,
         "op9_packing": op9_packing,
