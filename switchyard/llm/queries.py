@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchyard.llm import language_id, line_dedup, packing, quality, sentencepiece_codec, url_filter
+from switchyard.llm import language_id, line_dedup, packing, ppm, quality, sentencepiece_codec, url_filter
 from switchyard.llm.arrowtext import fold_crc
 
 URL_RULES = [
@@ -54,6 +54,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, fit_languages(docs), held_out=held_out(5))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, by words and by the byte model."""
+    return ppm.score(table(spark, sf_dir, "documents"), held_out=held_out(10))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids (as digests), the decoded text's hash and parity for every document."""
     return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
@@ -81,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op3_language_id": op3_language_id,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_sentencepiece": op5_sentencepiece,
         "op7_line_dedup": op7_line_dedup,
         "op9_packing": op9_packing,
