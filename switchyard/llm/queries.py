@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchyard.llm import language_id, line_dedup, packing, ppm, quality, sentencepiece_codec, url_filter
+from switchyard.llm import bagminhash, language_id, line_dedup, packing, ppm, quality, sentencepiece_codec, url_filter
 from switchyard.llm.arrowtext import fold_crc
 
 URL_RULES = [
@@ -48,6 +48,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, fit_quality(docs, table(spark, sf_dir, "labels")), held_out=held_out(5))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -85,6 +90,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
+        "op2_minhash": op2_minhash,
         "op3_language_id": op3_language_id,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_sentencepiece": op5_sentencepiece,
