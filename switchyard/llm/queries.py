@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchyard.llm import bagminhash, language_id, line_dedup, packing, ppm, quality, sentencepiece_codec, url_filter
+from switchyard.llm import bagminhash, language_id, line_dedup, multi_index, packing, ppm, quality, sentencepiece_codec, topk, url_filter
 from switchyard.llm.arrowtext import fold_crc
 
 URL_RULES = [
@@ -69,6 +69,14 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    scaled = F.transform(F.col("embedding"), lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("double"))
+    whole = vectors.where(topk.usable("embedding")).select("vec_id", scaled.alias("vector"))
+    return topk.top_k(whole, whole.where(F.col("vec_id") % 50 == 0))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines kept of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +85,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document in windows of 2048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
@@ -87,6 +100,13 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -94,9 +114,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": op3_language_id,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_topk": op6_topk,
         "op7_line_dedup": op7_line_dedup,
+        "op8_embedding_dedup": op8_embedding_dedup,
         "op9_packing": op9_packing,
         "op10_url_filters": op10_url_filters,
+        "pipeline": pipeline,
     }
 
 
@@ -122,6 +145,33 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.rule_verdict, 'allow') AS v
 FROM parts p LEFT JOIN fits f ON f.rn = p.rn AND f.place = 1
 """
 
+_OP6_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+_OP8_SQL = """
+WITH RECURSIVE links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM embeddings a JOIN embeddings b
+    ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.93),
+reached AS (
+    SELECT vec_id AS u, vec_id AS v FROM embeddings
+    UNION
+    SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
+least AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.u = e.vec_id LEFT JOIN counts c ON c.u = e.vec_id
+"""
+
 _KEY = "lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))"
 
 _OP7_SQL = f"""
@@ -136,4 +186,4 @@ FROM keyed GROUP BY rn, doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": _OP7_SQL, "op10_url_filters": _OP10_SQL}
+    return {"op6_topk": _OP6_SQL, "op8_embedding_dedup": _OP8_SQL, "op7_line_dedup": _OP7_SQL, "op10_url_filters": _OP10_SQL}
