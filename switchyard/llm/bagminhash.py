@@ -12,11 +12,11 @@ filled are never drawn: their ranges drop out after one vectorised comparison.
 
 Search: equal texts are one node, held by the smallest id. Nodes meet in bands of
 the signature. In each bucket all nodes are compared with the smallest one, by
-exact multiset overlap of their shingles; found links make components. Pairs of
-a bucket that are still in different components are compared too, unless their
-distances to that smallest node prove them too far apart (1 - similarity is a
-metric). So no bucket gives all its pairs, and no pair that shares a bucket goes
-undecided. With ``BANDS`` bands of ``ROWS`` rows a pair of similarity 0.8 shares
+exact multiset overlap of their shingles; found links make components. Nodes that
+it did not join meet more pivots of one of their buckets. Pairs of a bucket that are
+still in different components after that are compared too, unless a byte of each
+component of their signatures rules them out (six deviations off). So no bucket gives
+all its pairs, and no pair that shares a bucket goes undecided. With ``BANDS`` bands of ``ROWS`` rows a pair of similarity 0.8 shares
 none with probability 3e-6.
 
 Defined cases: texts of fewer than five words are one shingle of all words; null
@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from switchyard.llm.arrowtext import TokenRows, slices, texts_of
 from switchyard.operators.components import components
@@ -42,6 +43,9 @@ from switchyard.storage import discard, materialize
 WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 42
 SIZE = ROWS * BANDS
+PIVOTS = 16
+#: Share of equal sketch bytes below which a pair can't link; rows of a bucket that are compared as one block.
+MAY_LINK, BLOCK = 0.65, 512
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -73,8 +77,8 @@ def shingle_bags(texts: list[str | None], memo: TokenRows) -> list[tuple[np.ndar
         n = min(WORDS, len(words))
         shingles = np.zeros(max(0, len(words) - n + 1) if n else 0, dtype=np.uint64)
         for k in range(n):
-            shingles = _mix(shingles * _A + words[k : len(words) - n + k + 1] + np.uint64(n))
-        out.append(np.unique(shingles, return_counts=True))
+            shingles = shingles * _A + words[k : len(words) - n + k + 1]
+        out.append(np.unique(_mix(shingles + np.uint64(n)), return_counts=True))
     return out
 
 
@@ -93,28 +97,41 @@ def _ranges(bags: list[tuple]) -> tuple[np.ndarray, ...]:
     return np.concatenate([p[0] for p in parts]), seeds, np.concatenate([p[2] for p in parts]), lows, np.concatenate([np.full(len(p[0]), p[4]) for p in parts])
 
 
+def _draw_points(owner, state, size: int, horizon: np.ndarray, best: np.ndarray, name: np.ndarray, wide: tuple | None = None) -> None:
+    """Lower ``best`` (times by bag and component) by the points of processes of length 1, or ``wide`` (weight, low, length) ones."""
+    at = np.zeros(len(state))
+    while len(state):
+        state = _mix(state + _A)
+        at = at - np.log(_unit(state)) / (size * wide[2] if wide else size)
+        # later points than all components of a bag have are of no use
+        limit = np.minimum(horizon, best.reshape(-1, size).max(axis=1))
+        alive = np.flatnonzero(at < limit[owner])
+        owner, state, at = owner[alive], state[alive], at[alive]
+        draw = _mix(state ^ _B)
+        cell = owner * size + ((draw >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+        wins = at < best[cell]
+        if wide:
+            wide = tuple(v[alive] for v in wide)
+            wins &= wide[1] + np.floor(_unit(_mix(draw + _C)) * wide[2]) < wide[0]
+        wins = np.flatnonzero(wins)
+        cell, t = cell[wins], at[wins]
+        np.minimum.at(best, cell, t)
+        first = t == best[cell]
+        name[cell[first]] = draw[wins[first]]
+
+
 def signatures(bags: list[tuple], size: int = SIZE) -> np.ndarray:
     """[bag, component]: the hash of the point that comes first. Bags must not be empty."""
     out = np.zeros((len(bags), size), dtype=np.uint64)
     todo, extra = np.arange(len(bags)), 4.0
     while len(todo):
         owner, state, weight, low, length = _ranges([bags[i] for i in todo])
-        horizon = ((np.log(size) + extra) / np.array([float(bags[i][1].sum()) for i in todo]))[owner]
-        at = np.zeros(len(state))
+        horizon = (np.log(size) + extra) / np.array([float(bags[i][1].sum()) for i in todo])
         best, name = np.full(len(todo) * size, np.inf), np.zeros(len(todo) * size, dtype=np.uint64)
-        while len(state):
-            state = _mix(state + _A)
-            at = at - np.log(_unit(state)) / (size * length)
-            alive = at < horizon
-            owner, state, at, weight, low, length, horizon = (v[alive] for v in (owner, state, at, weight, low, length, horizon))
-            draw = _mix(state ^ _B)
-            cell = owner * size + ((draw >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
-            level = low + np.floor(_unit(_mix(draw + _C)) * length)
-            wins = (level < weight) & (at < best[cell])
-            cell, t, d = cell[wins], at[wins], draw[wins]
-            np.minimum.at(best, cell, t)
-            first = t == best[cell]
-            name[cell[first]] = d[first]
+        one = length == 1  # ranges of length 1 are covered whole
+        _draw_points(owner[one], state[one], size, horizon, best, name)
+        more = ~one
+        _draw_points(owner[more], state[more], size, horizon, best, name, (weight[more], low[more], length[more]))
         full = np.isfinite(best.reshape(len(todo), size)).all(axis=1)
         out[todo[full]] = name.reshape(len(todo), size)[full]
         todo, extra = todo[~full], 2 * extra + np.log(size)
@@ -142,7 +159,10 @@ def _node(text: Column) -> Column:
 
 
 def _band_table(docs: DataFrame) -> DataFrame:
-    """node, doc_id, bands (null without words) of every row of ``docs(doc_id, text)`` with a text."""
+    """node, doc_id, bands, sketch (both null without words) of every row of ``docs(doc_id, text)`` with a text.
+
+    The sketch is the signature's lowest bytes.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,12 +172,14 @@ def _band_table(docs: DataFrame) -> DataFrame:
                 bags = shingle_bags(texts_of(part), memo)
                 some = [i for i, bag in enumerate(bags) if len(bag[0])]
                 bands: list[bytes | None] = [None] * len(bags)
+                sketches = list(bands)
                 for group in (some[k : k + 128] for k in range(0, len(some), 128)):
-                    for i, keys in zip(group, band_keys(signatures([bags[i] for i in group])), strict=True):
-                        bands[i] = keys.tobytes()
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.binary())], ["node", "doc_id", "bands"])
+                    names = signatures([bags[i] for i in group])
+                    for i, keys, low in zip(group, band_keys(names), names.astype(np.uint8), strict=True):
+                        bands[i], sketches[i] = keys.tobytes(), low.tobytes()
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.binary()), pa.array(sketches, pa.binary())], ["node", "doc_id", "bands", "sketch"])
 
-    return docs.where("text IS NOT NULL").select(_node(F.col("text")).alias("node"), "doc_id", "text").mapInArrow(run, f"node binary, doc_id {kind}, bands binary")
+    return docs.where("text IS NOT NULL").select(_node(F.col("text")).alias("node"), "doc_id", "text").mapInArrow(run, f"node binary, doc_id {kind}, bands binary, sketch binary")
 
 
 def _bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -194,12 +216,89 @@ def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a binary, b binary, similarity double")
 
 
+def _mixed_buckets(led: DataFrame, found: DataFrame, linked: DataFrame) -> DataFrame:
+    """bucket, node, component, far (from the leader), leads: rows of buckets that hold several components."""
+    far = F.when(F.col("node") == F.col("leader"), 0.0).otherwise(1 - F.col("similarity"))
+    known = led.join(found.select(F.col("a").alias("leader"), F.col("b").alias("node"), "similarity"), ["leader", "node"], "left")
+    known = known.join(linked, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), far.alias("far"), (F.col("node") == F.col("leader")).alias("leads"))
+    mixed = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
+    return materialize(known.join(mixed, "bucket"), "near-mixed")
+
+
+def _last_links(known: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """u, v: links between components within a bucket, a spanning set of them.
+
+    Large buckets are compared in pairs of blocks. A pair is measured only in the first bucket that it
+    shares, if its components are still apart there and at least MAY_LINK of the sketches' bytes agree: at
+    similarity 0.8 that share is 0.8 with a deviation of 0.025, so no pair that links is lost (six
+    deviations).
+    """
+    sizes = known.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
+    rows = known.where(~F.col("leads")).join(sizes, "bucket").join(nodes.select("node", "bands", "sketch"), "node").join(texts, "node")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "component", "bands", "sketch", "text")
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
+
+    def compare(key: tuple, block: list[tuple], memo: TokenRows) -> Iterator[tuple[bytes, bytes]]:
+        parts, names, components_, bands, sketches, texts_ = zip(*block, strict=True)
+        sketch = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(block), SIZE)
+        band = np.frombuffer(b"".join(bands), dtype=np.int64).reshape(len(block), BANDS)
+        earlier = int(np.flatnonzero(band[0] == key[0])[0])
+        part = np.array(parts)
+        likely = []
+        for at in range(0, len(block), 64):
+            same = (sketch[at : at + 64, None] == sketch[None, at:]).mean(axis=2)
+            ok = (same >= MAY_LINK) & (np.arange(at, at + len(same))[:, None] < np.arange(at, len(block))[None])
+            if key[1] != key[2]:
+                ok &= part[at : at + 64, None] != part[None, at:]  # pairs of one part meet in its own block
+            x, y = np.nonzero(ok)
+            once = ~(band[at + x, :earlier] == band[at + y, :earlier]).any(axis=1)
+            likely += zip((-same[x, y][once]).tolist(), (at + x[once]).tolist(), (at + y[once]).tolist(), strict=True)
+        if not likely:
+            return
+        root: dict = {}
+
+        def find(v):
+            while root.setdefault(v, v) != v:
+                root[v] = root[root[v]]
+                v = root[v]
+            return v
+
+        bags: dict[int, tuple] = {}
+        for _, x, y in sorted(likely):
+            u, v = find(components_[x]), find(components_[y])
+            if u != v:
+                for k in (x, y):
+                    if k not in bags:
+                        bags[k] = shingle_bags([texts_[k]], memo)[0]
+                if overlap(bags[x], bags[y]) >= SIMILARITY:
+                    root[u] = v
+                    yield names[x], names[y]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, block, out, memo = None, [], [], new_memo()
+        for batch in batches:
+            for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (bucket, i, j) != key:
+                    if len(block) > 1:
+                        out += compare(key, block, memo)
+                    key, block = (bucket, i, j), []
+                block.append(tuple(row))
+        if len(block) > 1:
+            out += compare(key, block, memo)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["u", "v"])
+
+    return rows.mapInArrow(run, "u binary, v binary")
+
+
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(nodes, members): nodes(node, doc_id, rows) and members(node, class_node) of classes of several nodes."""
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = _band_table(source).groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"))
-    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("held"), F.first("bands").alias("bands"))
-    nodes = materialize(nodes.select("node", "held.doc_id", "held.rows", "bands"), "near-nodes")
+    rows = _band_table(source).groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("held"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = materialize(nodes.select("node", "held.doc_id", "held.rows", "bands", "sketch"), "near-nodes")
     in_buckets = materialize(_bucket_rows(nodes), "near-buckets")
     buckets = in_buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     led = materialize(in_buckets.join(buckets, "bucket"), "near-led")
@@ -212,22 +311,26 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
     found = materialize(_similarities(pairs, texts), "near-pairs")
     links = found.where(F.col("similarity") >= SIMILARITY).select(F.col("a").alias("u"), F.col("b").alias("v"))
     linked = materialize(components(links), "near-classes")
-    # buckets that still hold several components: pairs of different ones that the leader can't tell apart
-    far = F.when(F.col("node") == F.col("leader"), 0.0).otherwise(1 - F.col("similarity"))
-    known = led.join(found.select(F.col("a").alias("leader"), F.col("b").alias("node"), "similarity"), ["leader", "node"], "left")
-    known = known.join(linked, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), far.alias("far"), (F.col("node") == F.col("leader")).alias("leads"))
-    mixed = known.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
-    known = materialize(known.join(mixed, "bucket"), "near-mixed")
-    one = known.select("bucket", *[F.col(c).alias(f"{c}_1") for c in ("node", "component", "far", "leads")])
-    two = known.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "component", "far", "leads")])
-    near = (F.col("node_1") < F.col("node_2")) & (F.col("component_1") != F.col("component_2")) & ~F.col("leads_1") & ~F.col("leads_2")
-    near &= F.abs(F.col("far_1") - F.col("far_2")) <= 1 - SIMILARITY + 1e-9
-    more = one.join(two, "bucket").where(near).select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct()
-    more = more.join(found.select("a", "b"), ["a", "b"], "left_anti")
-    second = materialize(_similarities(more, texts), "near-pairs").where(F.col("similarity") >= SIMILARITY).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    members = linked
-    if second.take(1):
-        members = materialize(components(links.unionByName(second)), "near-classes")
+    # each node that its bucket's leader has not joined meets the first PIVOTS nodes of one such bucket, so that large
+    # groups of near copies come together without their pairs
+    known = _mixed_buckets(led, found, linked)
+    order = Window.partitionBy("bucket").orderBy("node")
+    pivots = known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+    pivots = pivots.select("bucket", F.col("node").alias("pivot"), F.col("component").alias("pivot_component"))
+    lone = known.where(~F.col("leads")).groupBy("node", "component").agg(F.min("bucket").alias("bucket"))
+    met = lone.join(pivots, "bucket").where((F.col("node") != F.col("pivot")) & (F.col("component") != F.col("pivot_component")))
+    met = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    met = materialize(_similarities(met.join(found.select("a", "b"), ["a", "b"], "left_anti"), texts), "near-pairs")
+    members, links_all = linked, links
+    near = met.where(F.col("similarity") >= SIMILARITY).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if near.take(1):
+        links_all = links_all.unionByName(near)
+        members = materialize(components(links_all), "near-classes")
+        discard(known)
+        known = _mixed_buckets(led, found, members)
+    last = materialize(_last_links(known, nodes, texts), "near-links")
+    if last.take(1):
+        members = materialize(components(links_all.unionByName(last)), "near-classes")
     for table in (led, texts, known):
         discard(table)
     return nodes.select("node", "doc_id", "rows"), members.select("node", F.col("component").alias("class_node"))
