@@ -39,7 +39,8 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list:
 
 def fold_crc(column: Column | str) -> Column:
     """crc32 of the decimal text of an id; null ids count as the empty text."""
-    return F.crc32(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string").cast("binary"))
+    known = F.col(column) if isinstance(column, str) else column
+    return F.crc32(F.coalesce(known.cast("string"), F.lit("")).cast("binary"))
 
 
 class BoundedMemo(dict):
