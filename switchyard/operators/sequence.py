@@ -69,7 +69,7 @@ def unwrap_midnight(df: DataFrame, keys: list[str], order: list[str], minute: st
 
 def repair_times(times: Column) -> Column:
     """Fold over ordered struct(arrival, departure): arrivals a day on until not before the last departure,
-    departures a day on if over twelve hours early, else not before arrival."""
+    departures a day on if over twelve hours early, and not before arrival."""
     day, half = 86_400, 43_200
     start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<struct<arrival:long,departure:long>>").alias("out"))
 
@@ -77,7 +77,7 @@ def repair_times(times: Column) -> Column:
         late = F.coalesce(state["last"] - row["arrival"], F.lit(0))
         arrival = row["arrival"] + F.when(late > 0, F.ceil(late / day) * day).otherwise(0)
         gap = arrival - row["departure"]
-        departure = F.when(gap > half, row["departure"] + F.ceil(gap / day) * day).otherwise(F.greatest(row["departure"], arrival))
+        departure = F.greatest(row["departure"] + F.when(gap > half, day).otherwise(0), arrival)
         return F.struct(departure.cast("long").alias("last"), F.concat(state["out"], F.array(F.struct(arrival.cast("long").alias("arrival"), departure.cast("long").alias("departure")))).alias("out"))
 
     return F.aggregate(times, start, step, lambda s: s["out"])
