@@ -12,22 +12,10 @@ from switchyard.functions import clock, geo, names
 from switchyard.operators import matching, paths, schedule, sequence, spatial
 from switchyard.operators.components import components
 from switchyard.plans import roles
+from switchyard.plans.registry import QUERIES, SQL
+from switchyard.plans.registry import query as _query
 from switchyard.plans.roles import KEYS, ORDER, SQL_DEPARTURES, SQL_ORDER, SQL_STOPS, SQL_TIMES, sql_haversine
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def _query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def _metres(column: str = "hop_m"):
     return F.floor(column).cast("long")
 
@@ -575,8 +563,11 @@ def q_section_carry(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    from switchyard.plans import places  # noqa: F401  (registers its queries)
+
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    queries()
+    return dict(SQL)
