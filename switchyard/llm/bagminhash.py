@@ -31,12 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from switchyard.llm.arrowtext import TokenRows, slices, texts_of
+from switchyard.llm.arrowtext import slices, texts_of
 from switchyard.operators.components import components
 from switchyard.storage import discard, materialize
 
@@ -46,6 +45,8 @@ SIZE = ROWS * BANDS
 PIVOTS = 16
 #: Share of equal sketch bytes below which a pair can't link; rows of a bucket that are compared as one block.
 MAY_LINK, BLOCK = 0.65, 512
+#: Points that are drawn at a time where processes are few.
+DRAWS = 1 << 14
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -61,19 +62,56 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
-def _word_hashes(tokens: list[str]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(t.lower()) for t in tokens), dtype=np.uint64, count=len(tokens)).reshape(-1, 1)
-
-
-def new_memo() -> TokenRows:
-    return TokenRows(_word_hashes, 1, np.uint64)
+class WordHasher:
+    """64-bit hashes of the words of texts, as sums over all bytes of texts joined up to about ``PIECE`` bytes.
 
+    A byte counts as a random number times a power of an odd number by its place in the word. The powers
+    are kept, up to the longest word so far.
+    """
 
-def shingle_bags(texts: list[str | None], memo: TokenRows) -> list[tuple[np.ndarray, np.ndarray]]:
+    PIECE = 1 << 20
+
+    def __init__(self):
+        self.of_byte = _mix(np.arange(1, 257, dtype=np.uint64) * _A)
+        self.of_byte[32] = 0  # so the space after a word counts nothing
+        self.powers = np.ones(1, dtype=np.uint64)
+
+    def _hashes(self, joined: bytes) -> np.ndarray:
+        """One hash for each of the words that single spaces part."""
+        data = np.frombuffer(joined, dtype=np.uint8)
+        starts = np.concatenate([[0], np.flatnonzero(data == 32) + 1])
+        lengths = np.diff(starts, append=len(data) + 1)
+        while len(self.powers) < lengths.max():
+            self.powers = np.concatenate([self.powers, self.powers * (self.powers[-1:] * _C)])
+        places = np.arange(len(data)) - np.repeat(starts, lengths)[: len(data)]
+        return _mix(np.add.reduceat(self.of_byte[data] * self.powers[places], starts))
+
+    def words(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The hashes of each text's words, in their order and in lower case."""
+        counts, held, size = [], [], 0
+        hashes = [np.zeros(0, dtype=np.uint64)]
+        for text in texts:
+            words = (text or "").lower().split()
+            counts.append(len(words))
+            for at in range(0, len(words), 1 << 15):
+                held.append(" ".join(words[at : at + (1 << 15)]))
+                size += len(held[-1])
+                if size >= self.PIECE:
+                    hashes.append(self._hashes(" ".join(held).encode("utf-8", "surrogatepass")))
+                    held, size = [], 0
+        if held:
+            hashes.append(self._hashes(" ".join(held).encode("utf-8", "surrogatepass")))
+        return np.split(np.concatenate(hashes), np.cumsum(counts)[:-1]) if counts else []
+
+
+def new_memo() -> WordHasher:
+    return WordHasher()
+
+
+def shingle_bags(texts: list[str | None], memo: WordHasher) -> list[tuple[np.ndarray, np.ndarray]]:
     """(sorted distinct shingle hashes, their counts) of each text."""
     out = []
-    for rows in memo.rows([(t or "").split() for t in texts]):
-        words = memo.table[rows, 0]
+    for words in memo.words(texts):
         n = min(WORDS, len(words))
         shingles = np.zeros(max(0, len(words) - n + 1) if n else 0, dtype=np.uint64)
         for k in range(n):
@@ -98,26 +136,34 @@ def _ranges(bags: list[tuple]) -> tuple[np.ndarray, ...]:
 
 
 def _draw_points(owner, state, size: int, horizon: np.ndarray, best: np.ndarray, name: np.ndarray, wide: tuple | None = None) -> None:
-    """Lower ``best`` (times by bag and component) by the points of processes of length 1, or ``wide`` (weight, low, length) ones."""
-    at = np.zeros(len(state))
+    """Lower ``best`` (times by bag and component) by the points of processes of length 1, or ``wide`` (weight, low, length) ones.
+
+    Few processes draw several points each at a time, so that short texts take few rounds too.
+    """
+    at, drawn = np.zeros(len(state)), 0
     while len(state):
-        state = _mix(state + _A)
-        at = at - np.log(_unit(state)) / (size * wide[2] if wide else size)
+        many = max(1, min(64, DRAWS // len(state)))
+        points = _mix(state[:, None] + np.arange(drawn + 1, drawn + many + 1, dtype=np.uint64) * _A)
+        gaps = np.log(_unit(points)) / -(size * wide[2] if wide else np.array([size]))[:, None]
+        times = at[:, None] + np.cumsum(gaps, axis=1)
+        drawn += many
         # later points than all components of a bag have are of no use
-        limit = np.minimum(horizon, best.reshape(-1, size).max(axis=1))
-        alive = np.flatnonzero(at < limit[owner])
-        owner, state, at = owner[alive], state[alive], at[alive]
-        draw = _mix(state ^ _B)
-        cell = owner * size + ((draw >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
-        wins = at < best[cell]
+        limit = np.minimum(horizon, best.reshape(-1, size).max(axis=1))[owner]
+        row, column = np.nonzero(times < limit[:, None])
+        draw, t = _mix(points[row, column] ^ _B), times[row, column]
+        cell = owner[row] * size + ((draw >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+        wins = t < best[cell]
         if wide:
-            wide = tuple(v[alive] for v in wide)
-            wins &= wide[1] + np.floor(_unit(_mix(draw + _C)) * wide[2]) < wide[0]
+            wins &= wide[1][row] + np.floor(_unit(_mix(draw + _C)) * wide[2][row]) < wide[0][row]
         wins = np.flatnonzero(wins)
-        cell, t = cell[wins], at[wins]
+        cell, t = cell[wins], t[wins]
         np.minimum.at(best, cell, t)
         first = t == best[cell]
         name[cell[first]] = draw[wins[first]]
+        alive = np.flatnonzero(times[:, -1] < limit)
+        owner, state, at = owner[alive], state[alive], times[alive, -1]
+        if wide:
+            wide = tuple(v[alive] for v in wide)
 
 
 def signatures(bags: list[tuple], size: int = SIZE) -> np.ndarray:
@@ -240,7 +286,7 @@ def _last_links(known: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFra
     rows = rows.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "component", "bands", "sketch", "text")
     rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
 
-    def compare(key: tuple, block: list[tuple], memo: TokenRows) -> Iterator[tuple[bytes, bytes]]:
+    def compare(key: tuple, block: list[tuple], memo: WordHasher) -> Iterator[tuple[bytes, bytes]]:
         parts, names, components_, bands, sketches, texts_ = zip(*block, strict=True)
         sketch = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(block), SIZE)
         band = np.frombuffer(b"".join(bands), dtype=np.int64).reshape(len(block), BANDS)
