@@ -177,10 +177,20 @@ def fit(train: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: st
         if len(rows):
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([total[r].tobytes() for r in rows], pa.binary())], ["bucket", "sums"])
 
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for bucket, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found[bucket] = found.get(bucket, np.float32(0)) + np.frombuffer(raw, dtype=np.float32)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([v.tobytes() for v in found.values()], pa.binary())], ["bucket", "sums"])
+
+    partial = sample.select("text").coalesce(8).mapInArrow(sums, "bucket int, sums binary")  # at most 8 * BUCKETS rows
+    # sorted, so that floats add up alike in every run; the driver gets at most BUCKETS rows
+    whole = partial.repartition("bucket").sortWithinPartitions("bucket", "sums").mapInArrow(add_up, "bucket int, sums binary").toArrow()
     total = np.zeros((BUCKETS, SIZE), dtype=np.float32)
-    partial = sample.select("text").coalesce(8).mapInArrow(sums, "bucket int, sums binary").toArrow()  # at most 8 * BUCKETS rows
-    for bucket, raw in sorted(zip(*(c.to_pylist() for c in partial.columns), strict=True)):
-        total[bucket] += np.frombuffer(raw, dtype=np.float32)
+    if len(whole):
+        total[whole["bucket"].to_numpy()] = np.frombuffer(b"".join(whole["sums"].to_pylist()), dtype=np.float32).reshape(-1, SIZE)
     vectors = word_vectors(total, index_vectors())
     shared = spark.sparkContext.broadcast(vectors)
 
