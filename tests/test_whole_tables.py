@@ -51,3 +51,22 @@ def test_raptor_rides_every_trip(spark, tables):
                     best[b] = min(best.get(b, 10**9), cost + 2 * math.ceil(m / 75))
     got = {r.stop: r.cost for r in catalogue.queries()["q_raptor_k2"](spark, d).collect()}
     assert got == best and len(best) > 10
+
+
+def test_name_tiers_see_every_customer(spark, tables):
+    suppliers = {1: "Supplier#000000001", 2: "Supplier#000000008", 3: "Supplier#000000105", 4: "Both", 5: "", 6: None, 7: "Supplier#000000999"}
+    customers = {k: f"Customer#{k:09d}" for k in range(0, 60)} | {100: "both", 101: "", 102: None}
+    d = tables(
+        supplier=([(k, n, 1, 0.0) for k, n in suppliers.items()], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        customer=([(k, n) for k, n in customers.items()], "c_custkey long, c_name string"),
+    )
+    keys = [lambda x: x.lower(), lambda x: x.lower()[-9:], lambda x: x.lower()[-2:]]
+    want = set()
+    for s, name in suppliers.items():
+        for tier, key in enumerate(keys, 1):
+            hit = {(s, c, tier) for c, other in customers.items() if name and other and key(name) == key(other)}
+            if hit:
+                want |= hit
+                break
+    got = [tuple(r) for r in catalogue.queries()["q_name_tier_join"](spark, d).select("s_suppkey", "c_custkey", "tier").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and {t for _, _, t in want} == {1, 2, 3}
