@@ -66,7 +66,7 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids (as digests), the decoded text's hash and parity for every document."""
-    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), parity_every=1)
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,7 +239,7 @@ def encode(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: st
 
     Columns: doc_id, ids array<int>, decoded string, parity boolean. parity compares a
     row with the sentencepiece library itself; it is done for one row in
-    ``parity_every`` (by the text's crc32) and null elsewhere.
+    ``parity_every`` (by the text's crc32; 1: every row) and null elsewhere. Null texts count as empty.
     """
     source = need(docs, doc_id=doc_id, text=text)
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -294,8 +294,8 @@ def _parity(model_path: str, texts: list, ids: list[bytes], every: int) -> list[
         _CHECKERS[model_path] = sentencepiece.SentencePieceProcessor(model_file=model_path)
     out: list[bool | None] = []
     for t, i in zip(texts, ids, strict=True):
-        if t and zlib.crc32(t.encode()) % every == 0:
-            out.append(np.asarray(_CHECKERS[model_path].encode(t), dtype="<u4").tobytes() == i)
+        if every == 1 or zlib.crc32((t or "").encode()) % every == 0:
+            out.append(np.asarray(_CHECKERS[model_path].encode(t or ""), dtype="<u4").tobytes() == i)
         else:
             out.append(None)
     return out

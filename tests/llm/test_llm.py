@@ -75,6 +75,17 @@ def test_sentencepiece_parity(docs):
     assert sentencepiece_codec.digest(empty(docs), PIECES).count() == 0
 
 
+def test_registered_sentencepiece_query_checks_every_row(docs, spark, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op5_sentencepiece(spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count() and all(r.parity is True for r in rows)
+    texts = ["right", "wrong", "", None, "wrong"]
+    c = sentencepiece_codec.codec(PIECES)
+    ids = [b"\x01\0\0\0" if t == "wrong" else i for t, i in zip(texts, c.encode(texts), strict=True)]
+    assert sentencepiece_codec._parity(PIECES, texts, ids, 1) == [True, False, True, True, False]
+    assert sentencepiece_codec._parity(PIECES, [""], [b"\x01\0\0\0"], 1) == [False]
+
+
 def test_line_dedup_batches_and_both_ways(spark, docs, monkeypatch):
     many = spark.createDataFrame([(i, f" Common \nown {i}\n\n") for i in range(12)], "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
     keys = line_dedup.frequent_line_keys(many, min_docs=10, fanout=2)
