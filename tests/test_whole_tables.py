@@ -70,3 +70,50 @@ def test_name_tiers_see_every_customer(spark, tables):
                 break
     got = [tuple(r) for r in catalogue.queries()["q_name_tier_join"](spark, d).select("s_suppkey", "c_custkey", "tier").collect()]
     assert len(got) == len(set(got)) and set(got) == want and {t for _, _, t in want} == {1, 2, 3}
+
+
+CUSTOMER = "c_custkey long, c_name string"
+
+
+def test_merge_takes_all_orders_and_customers(spark, tables):
+    orders = {o: 395 + o * o % 7 for o in range(1, 80)} | {900: None}
+    customers = list(range(390, 410)) + [700]
+    d = tables(orders=(list(orders.items()), "o_orderkey long, o_custkey long"), customer=([(c, "x") for c in customers], CUSTOMER))
+    left = [(o, None if c is None else c * 10 + o % 10) for o, c in orders.items()]
+    right = {c * 10 + c % 10: c for c in customers}
+    seen = [k for _, k in left]
+    merged = {(k, o, right[k] if k in right and seen.count(k) == 1 else None) for o, k in left}
+    merged |= {(k, None, c) for k, c in right.items() if c not in {x for _, _, x in merged}}
+    got = [tuple(r) for r in catalogue.queries()["q_merge_unique_key"](spark, d).select("k", "id_left", "id_right").collect()]
+    assert len(got) == len(set(got)) and set(got) == merged
+    assert any(o and c for _, o, c in merged) and any(seen.count(k) > 1 and k in right for k in seen)
+
+
+def test_reach_judges_every_place(spark, tables):
+    stops, places = range(1, 9), range(0, 40)
+    d = tables(
+        supplier=([(s, f"S{s}", 1, 0.0) for s in stops], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        customer=([(c, "x") for c in places], CUSTOMER),
+    )
+    want = {}
+    for c in places:
+        far = [metres(position(c * 3), position(s)) for s in stops]
+        near, wide = sum(m <= 1500 for m in far), sum(m <= 3000 for m in far)
+        want[c] = (1500, near) if near else (3000, wide) if wide else (15000, 1) if min(far) <= 15000 else (0, 0)
+    got = {r.place_id: (r.radius, r.n) for r in catalogue.queries()["q_reach_fallback"](spark, d).collect()}
+    assert got == want and len({r for r, _ in want.values()}) > 1
+
+
+def test_periods_of_every_customer(spark, tables):
+    routes, customers = range(0, 130), range(0, 260)
+    d = tables(
+        supplier=([(s, f"S{s}", 1, 0.0) for s in routes], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+        customer=([(c, "x") for c in customers], CUSTOMER),
+    )
+    masks = ["1111100", "0000011", "0000000", "1010101"]
+    valid = [(c % 120, ["", "0", "1"][c % 3], c, masks[c % 4]) for c in customers if c % 4 != 2]
+    served = {route for route, *_ in valid}
+    want = {(route, way, c, mask) for route, fits, c, mask in valid for way in "01" if fits in ("", way)}
+    want |= {(route, way, None, "1111111") for route in routes if route not in served for way in "01"}
+    got = [tuple(r) for r in catalogue.queries()["q_wildcard_period_join"](spark, d).select("route_id", "direction", "period_id", "mask").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
