@@ -117,3 +117,22 @@ def test_periods_of_every_customer(spark, tables):
     want |= {(route, way, None, "1111111") for route in routes if route not in served for way in "01"}
     got = [tuple(r) for r in catalogue.queries()["q_wildcard_period_join"](spark, d).select("route_id", "direction", "period_id", "mask").collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def _edits(a, b):
+    d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+def test_edits_of_all_pairs_of_a_nation(spark, tables):
+    names = ["Park", "Prak", "Pa rk", "Parks", "Circus", "Circsu", "Crcsus", "", "Park", "ca", "abc", "Howrah", "Hwroah"]
+    rows = [(k, n, nation, 0.0) for nation in (1, 2) for k, n in enumerate(names, 100 * nation)] + [(999, None, 1, 0.0)]
+    d = tables(supplier=(rows, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"))
+    want = {(a, b, None if x is None or y is None else min(_edits(x, y), 3)) for a, x, n, _ in rows for b, y, m, _ in rows if n == m and a < b}
+    got = [tuple(r) for r in catalogue.queries()["q_edit_distance"](spark, d).select("id_a", "id_b", "edits").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and {0, 1, 2, 3} <= {e for _, _, e in want}
