@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -29,16 +29,23 @@ def shortest_costs(sources: DataFrame, edges: DataFrame, limit: int, max_rounds:
     raise RuntimeError(f"paths did not settle in {max_rounds} rounds")
 
 
-def ride_round(labels: DataFrame, pattern_stops: DataFrame, board_cost: int) -> DataFrame:
+def boarding(headway: Column, penalty: Column | int = 0) -> Column:
+    """Cost of boarding a pattern: half its headway in minutes, 15 at most, 3 more and the route's penalty."""
+    return F.least(headway / 2, F.lit(15.0)) + 3 + penalty
+
+
+def ride_round(labels: DataFrame, pattern_stops: DataFrame, board_cost: int | str) -> DataFrame:
     """One round of rides: board a pattern at any labelled stop, alight at any later one.
 
     ``labels(stop, cost)``, ``pattern_stops(pattern, pos, stop, minutes)``; returns the improved labels.
+    ``board_cost`` is one cost for all, or the column of ``pattern_stops`` that holds each pattern's (see :func:`boarding`).
     Only patterns that a labelled stop touches are scanned.
     """
     touched = pattern_stops.join(labels, "stop", "left_semi").select("pattern").distinct()
     scan = pattern_stops.join(touched, "pattern", "left_semi").join(labels, "stop", "left")
     w = Window.partitionBy("pattern").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    base = F.min(F.col("cost") + board_cost - F.col("minutes")).over(w)
+    board = F.col(board_cost) if isinstance(board_cost, str) else F.lit(board_cost)
+    base = F.min(F.col("cost") + board - F.col("minutes")).over(w)
     arrive = scan.withColumn("new", base + F.col("minutes")).where("new IS NOT NULL").select("stop", F.col("new").alias("cost"))
     return labels.unionByName(arrive).groupBy("stop").agg(F.min("cost").alias("cost"))
 

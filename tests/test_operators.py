@@ -57,3 +57,14 @@ def test_components(spark, edges, expected):
 def test_shortest_costs(spark):
     edges = spark.createDataFrame([(1, 2, 5), (2, 3, 5), (1, 3, 20), (3, 4, 100)], "src long, dst long, w long")
     assert dict(map(tuple, paths.shortest_costs(spark.createDataFrame([(1,)], "node long"), edges, 50).collect())) == {1: 0, 2: 5, 3: 10}
+
+
+def test_rides_board_at_their_patterns_cost(spark):
+    rows = [(1, 1, 1, 0), (1, 2, 2, 10), (2, 1, 1, 0), (2, 2, 2, 12), (2, 3, 3, 20)]
+    headways = spark.createDataFrame([(1, 60.0, 0), (2, 4.0, 1)], "pattern long, h double, penalty int")
+    stops = spark.createDataFrame(rows, "pattern long, pos long, stop long, minutes long")
+    each = stops.join(headways, "pattern").withColumn("board", paths.boarding(F.col("h"), F.col("penalty")))
+    start = spark.createDataFrame([(1, 0)], "stop long, cost long")
+    # 15 + 3 + 10 by the rare pattern, 2 + 3 + 1 + 12 by the frequent one
+    assert {r.stop: r.cost for r in paths.ride_round(start, each, "board").collect()} == {1: 0, 2: 18, 3: 26}
+    assert {r.stop: r.cost for r in paths.ride_round(start, stops, 8).collect()} == {1: 0, 2: 18, 3: 28}
