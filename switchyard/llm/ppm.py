@@ -4,7 +4,7 @@ Tokens are lower-cased (A-Z) white-space words and one end token a document. A
 token is predicted byte by byte, and its end, from the up to ``ORDER`` bytes
 before. The first of them is a state byte that the document's words so far give:
 the class of the latest word that is among the corpus's ``ANCHORS`` most frequent
-ones, whose classes come from which of them follow each other (so that words of
+ones of up to ``HEAVY_BYTES`` bytes, whose classes come from which of them follow each other (so that words of
 one language or style share a class). The trie of byte contexts holds
 counts of all training tokens. A seen symbol has probability (c - 1/2) / T among
 the symbols not yet excluded, an escape D / 2T, and after an escape the symbols
@@ -73,14 +73,20 @@ class States:
 
         def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts: Counter = Counter()
+
+            def out() -> pa.RecordBatch:
+                words = [w for w in counts if len(w) <= HEAVY_BYTES]
+                times = [counts[w] for w in words]
+                counts.clear()
+                return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
+
             for batch in batches:
                 for part in slices(batch):
                     for text in part.column(0).cast(pa.binary()).to_pylist():
                         counts.update((text or b"").lower().split())
-                if len(counts) > 1_000_000:  # rare so far: they are too rare to be anchors
-                    counts = Counter(dict(counts.most_common(200_000)))
-            top = [(w, n) for w, n in counts.most_common(8 * ANCHORS) if len(w) <= HEAVY_BYTES]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
+                    if len(counts) > 1_000_000:
+                        yield out()
+            yield out()
 
         texts = docs.where(~F.col("held_out")).select("text")
         words = texts.mapInArrow(frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
