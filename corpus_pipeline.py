@@ -44,7 +44,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", pack_sequences),
 ]
 
-#: Trained models and approximate search can't be said in SQL; tests hold run() against brute force.
+#: Trained models and approximate search can't be said in SQL; tests/test_pipeline.py holds lines, near-duplicates and packing
+#: against plain Python, and the models' stages against op3's and op1's own verdicts.
 ORACLE_SQL = None
 
 

@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -134,6 +136,17 @@ def test_ppm_base_by_brute_force(docs):
     assert ppm.score(empty(docs), held_out=queries.held_out(10)).count() == 0
 
 
+def test_ppm_base_score_by_hand(docs):
+    rows = docs.select("doc_id", "text").collect()
+    tokens = [[*(r.text or "").encode().lower().split(), b"\n"] for r in rows]
+    held = [zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 10 == 0 for r in rows]
+    counts = Counter(w for words, out in zip(tokens, held, strict=True) if not out for w in words)
+    below = counts.total() + 0.1 * (len(counts) + 1)
+    want = sorted((out, len(words), round(sum(math.log10((counts[w] + 0.1) / below) for w in words), 6)) for words, out in zip(tokens, held, strict=True))
+    got = ppm.score(docs, held_out=queries.held_out(10)).collect()
+    assert sorted((r.held_out, r.n_tokens, round(r.base_score, 6)) for r in got) == want
+
+
 def test_anchors_are_the_most_frequent_words_of_all_tasks(spark):
     texts = [" ".join([f"w{i}x{k}" for k in range(2100)] * 2 + ["everywhere"] + ["long" * 20] * 9) for i in range(4)]
     docs = spark.createDataFrame(spark.sparkContext.parallelize([(False, t) for t in texts] + [(True, "held out " * 9)], 5), "held_out boolean, text string")
