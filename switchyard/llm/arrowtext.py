@@ -19,13 +19,13 @@ def need(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: str = "text", rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """``batch`` in consecutive slices of bounded rows and, but for single long texts, bounded bytes."""
     sizes = batch.column(batch.schema.get_field_index(text))
     lengths = pa.compute.fill_null(pa.compute.binary_length(sizes), 0).to_pylist() if len(batch) else []
     start = held = 0
     for i, n in enumerate(lengths):
-        if i > start and (i - start >= SLICE_ROWS or held + n > SLICE_BYTES):
+        if i > start and (i - start >= rows or held + n > SLICE_BYTES):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += n

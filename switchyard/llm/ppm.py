@@ -1,116 +1,185 @@
-"""Prediction by partial matching over the bytes of tokens, pretrained on a corpus.
-
-Tokens are lower-cased (A-Z) white-space words and one end token a document. A
-token is predicted byte by byte, and its end, from the up to ``ORDER`` bytes
-before. The first of them is a state byte that the document's words so far give:
-the class of the latest word that is among the corpus's ``ANCHORS`` most frequent
-ones of up to ``HEAVY_BYTES`` bytes, whose classes come from which of them follow each other (so that words of
-one language or style share a class). The trie of byte contexts holds
-counts of all training tokens. A seen symbol has probability (c - 1/2) / T among
-the symbols not yet excluded, an escape D / 2T, and after an escape the symbols
-of the longer context are excluded; since the trie is static those masses are
-properties of a context and are kept with it. Below order 0 the bytes not seen
-at all share the rest equally.
-
-Plan: two passes find the frequent words and their classes; one pass counts
-distinct (state, token) pairs in every task before the shuffle; the trie's nodes
-are counted from distinct pairs; every distinct pair is scored once. Pairs that make up over a 2**20th of all tokens (so there are fewer than
-2**20 of them) go to every worker; the others of a document meet the token table
-in a shuffle join, in which no key is hot. The trie goes to workers in shards of
-at most ``SHARD_NODES`` nodes, split by the last two context bytes: all contexts
-that predict one byte end alike, so passes over the shards add up exactly.
-
-Defined cases: a null text counts as empty (just the end token); an empty table
-gives an empty result; without training rows all counts are 0 and each byte
-costs log10(256); repeated rows count and are scored each for itself; a token
-may be as long as the text.
+"""Prediction by partial matching over sentences and bytes, pretrained on a corpus.
+
+Tokens are lower-cased (A-Z) white-space words and one end token a document. A text
+is a chain of segments: a segment ends with a token that ends in a full stop, question
+or exclamation mark, after ``SEGMENT`` tokens, or with the text. The longest context is
+the whole segment before; where a text escapes from it, or has none, the segment's tokens
+are predicted byte by byte.
+
+Segments: the trie node of a context holds the segments that follow it in training texts,
+each text counted once, by the context's first use in it. Among T such texts with D
+different followers a seen one has probability (c - 1/2) / T, the escape D / 2T. A
+training text's own count is left out of c, T and D, so no text predicts itself, and
+training and held-out texts are scored alike. Later uses of a context in a text, and its
+first segment, go straight to the bytes. Nothing is excluded below this level.
+
+Bytes: a token's bytes, and its end, are predicted from the up to ``ORDER`` bytes before.
+The first of them is a state byte that the words before give: the class of the latest
+word that is among the corpus's ``ANCHORS`` most frequent ones, whose classes come from
+which of them follow each other (so that words of one language share a class). A seen
+symbol has probability (c - 1/2) / T among the symbols not yet excluded, an escape
+D / 2T, and after an escape the longer context's symbols are excluded; since the trie is
+static those masses are properties of a context and are kept with it. Below order 0 the
+bytes not seen at all share the rest equally.
+
+Plan: words are counted exactly, then classes, then distinct (state, token) pairs and
+(context, segment) pairs in one pass. The trie of bytes never leaves the executors: all
+orders of a position share its last two context bytes, so its longest contexts are dealt
+by those, a task builds the nodes of its own groups, and just orders 0 and 1 (65,792
+nodes at most) go round. Distinct pairs meet their positions' scores, documents meet their
+pairs' scores, and segments meet theirs in the same way: keys that hold over a fixed share
+of all rows, of which there can be but so many, are broadcast, all others meet in a shuffle
+join in which no key is hot.
+
+Defined cases: a null text counts as empty (just the end token); an empty table gives an
+empty result; without training rows all counts are 0 and each byte costs log10(256);
+repeated rows are texts of their own; a token may be as long as the text; null ids stay null.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchyard.llm.arrowtext import slices
 from switchyard.storage import discard, materialize
 
-ORDER = 5
-#: A shard of the trie: 16 bytes a node, 128 MB.
-SHARD_NODES = 8_000_000
-HEAVY_SHARE = 1 << 20
-HEAVY_BYTES = 64
+ORDER, SEGMENT = 5, 16
+#: Tokens, byte contexts and segments that make up over one in so many of their kind are broadcast.
+TOKEN_SHARE, NODE_SHARE, SEGMENT_SHARE = 1 << 20, 1 << 18, 1 << 14
+#: Longer tokens go by their md5 where they are broadcast.
+NAME_BYTES = 64
 END = b"\n"
 ANCHORS, CLASSES = 255, 12
+#: Positions that a task turns into a trie at a time, and tokens that it counts before it hands them on.
+TRIE_KEYS, HELD = 500_000, 1_000_000
+_STATES = [bytes([k]) for k in (0, *range(1, 9), *range(14, 32))]
+_SEGMENT_MARK = b"\xff"
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _B
+    return x ^ (x >> np.uint64(29))
+
+
+class Tokens:
+    """The tokens of some texts: ``words`` (distinct ones, the end token last), and by token its word and its text."""
+
+    def __init__(self, texts: pa.Array):
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+        flat, owner = split.flatten(), pc.list_parent_indices(split)
+        some = pc.greater(pc.binary_length(flat), 0)
+        flat, owner = flat.filter(some), owner.filter(some).to_numpy()
+        coded = flat.dictionary_encode()
+        self.words: list[bytes] = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
+        self.n_texts = len(texts)
+        self.counts = np.bincount(owner, minlength=len(texts)) + 1
+        ends = np.cumsum(self.counts) - 1
+        self.starts = ends - self.counts + 1
+        self.ids = np.full(int(self.counts.sum()), len(self.words) - 1, dtype=np.int64)
+        inner = np.ones(len(self.ids), dtype=bool)
+        inner[ends] = False
+        self.ids[inner] = coded.indices.to_numpy()
+        self.text = np.repeat(np.arange(len(texts)), self.counts)
+
+    def states(self, classes: dict[bytes, int]) -> np.ndarray:
+        """By token, the class of the latest anchor word before it in its text."""
+        of_word = np.array([classes.get(w, 0) for w in self.words], dtype=np.int64)[self.ids]
+        latest = np.maximum.accumulate(np.where(of_word > 0, np.arange(len(of_word)), -1))
+        before = np.concatenate([[-1], latest[:-1]])
+        return np.where(before >= self.starts[self.text], of_word[before], 0)
+
+    def pairs(self, classes: dict[bytes, int]) -> tuple[list[bytes], np.ndarray]:
+        """Distinct (state, token) pairs as bytes, and by token its pair."""
+        n = len(self.words)
+        codes, place = np.unique(self.states(classes) * n + self.ids, return_inverse=True)
+        return [_STATES[c // n] + self.words[c % n] for c in codes.tolist()], place
+
+    def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """By segment: first token, text, hash of the segment before (0: none, or used before in this text), hash of both."""
+        stops = np.array([w[-1] in b".!?" for w in self.words], dtype=bool)[self.ids]
+        begins = np.zeros(len(self.ids), dtype=bool)
+        begins[self.starts] = True
+        begins[1:] |= stops[:-1]
+        first = np.maximum.accumulate(np.where(begins, np.arange(len(begins)), 0))
+        begins |= (np.arange(len(begins)) - first) % SEGMENT == 0
+        at = np.flatnonzero(begins)
+        if not len(at):
+            return at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)[self.ids]
+        place = np.arange(len(begins)) - np.repeat(at, np.diff(at, append=len(begins)))
+        own = _mix(np.add.reduceat(_mix(hashes + (place + 1).astype(np.uint64) * _A), at)) | np.uint64(1)
+        text = self.text[at]
+        before = np.concatenate([np.zeros(1, np.uint64), own[:-1]])
+        before[np.concatenate([[True], text[1:] != text[:-1]])] = 0
+        order = np.lexsort((np.arange(len(at)), before, text))
+        again = (before[order][1:] == before[order][:-1]) & (text[order][1:] == text[order][:-1])
+        before[order[1:][again]] = 0
+        return at, text, before, np.where(before > 0, _mix(before * _A ^ own), np.uint64(0))
+
+
+def _big_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return slices(batch, rows=8192)
+
+
+def _count_words(texts: DataFrame) -> DataFrame:
+    """word, n over all tokens of ``texts(text)``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[bytes, int] = {}
 
-def tokens_of(text: bytes | None) -> list[bytes]:
-    """Lower-cased tokens, the end token last; bytes.split() cuts at exactly [\\x20\\x09-\\x0D]."""
-    out = (text or b"").lower().split()
-    out.append(END)
-    return out
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            counts.clear()
+            return made
 
+        for batch in batches:
+            for part in _big_slices(batch):
+                tokens = Tokens(part.column(0))
+                for w, n in zip(tokens.words, np.bincount(tokens.ids, minlength=len(tokens.words)).tolist(), strict=True):
+                    counts[w] = counts.get(w, 0) + n
+                if len(counts) > HELD:
+                    yield out()
+        yield out()
 
-class States:
-    """Puts the state byte in front of each of a document's tokens."""
+    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
 
-    def __init__(self, classes: dict[bytes, int]):
-        self.classes = classes
-        self.byte = [bytes([k]) for k in (0, *range(1, 9), *range(14, 32))]  # 0: no frequent word so far
 
-    def keys(self, tokens: list[bytes]) -> list[bytes]:
-        found = np.array([0, *map(self.classes.get, tokens, [0] * len(tokens))][:-1], dtype=np.int64)
-        latest = found[np.maximum.accumulate(np.where(found > 0, np.arange(len(found)), 0))]
-        return [s + t for s, t in zip(map(self.byte.__getitem__, latest.tolist()), tokens, strict=True)]
+def fit_classes(texts: DataFrame, words: DataFrame) -> dict[bytes, int]:
+    """Class (from 1) of each anchor word, from the training ``texts(text)`` and their ``words(word, n)``."""
+    usual = words.where((F.octet_length("word") <= NAME_BYTES) & (F.col("word") != F.lit(END)))
+    anchors = [bytes(r["word"]) for r in usual.orderBy(F.desc("n"), "word").limit(ANCHORS).collect()]
+    if not anchors:
+        return {}
+    shared = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(anchors)})
 
-    @classmethod
-    def fit(cls, docs: DataFrame) -> States:
-        """From the training rows of ``docs(held_out, text)``."""
-
-        def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts: Counter = Counter()
-
-            def out() -> pa.RecordBatch:
-                words = [w for w in counts if len(w) <= HEAVY_BYTES]
-                times = [counts[w] for w in words]
-                counts.clear()
-                return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], ["word", "n"])
-
-            for batch in batches:
-                for part in slices(batch):
-                    for text in part.column(0).cast(pa.binary()).to_pylist():
-                        counts.update((text or b"").lower().split())
-                    if len(counts) > 1_000_000:
-                        yield out()
-            yield out()
-
-        texts = docs.where(~F.col("held_out")).select("text")
-        words = texts.mapInArrow(frequent, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        anchors = [bytes(r["word"]) for r in words.orderBy(F.desc("n"), "word").limit(ANCHORS).collect()]
-        if not anchors:
-            return cls({})
-        shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(anchors)})
-
-        def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            place, total = shared.value, np.zeros(ANCHORS * ANCHORS, dtype=np.int64)
-            for batch in batches:
-                for part in slices(batch):
-                    for text in part.column(0).cast(pa.binary()).to_pylist():
-                        found = np.array([f for f in map(place.get, (text or b"").lower().split()) if f is not None], dtype=np.int64)
-                        total += np.bincount(found[:-1] * ANCHORS + found[1:], minlength=ANCHORS * ANCHORS)
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["pair", "n"])
-
-        pairs = texts.mapInArrow(follow, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
-        matrix = np.zeros(ANCHORS * ANCHORS)
-        for r in pairs:
-            matrix[r["pair"]] = r["n"]
-        matrix = matrix.reshape(ANCHORS, ANCHORS)[: len(anchors), : len(anchors)]
-        return cls({w: int(k) + 1 for w, k in zip(anchors, _clusters(matrix + matrix.T), strict=True)})
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, total = shared.value, np.zeros(ANCHORS * ANCHORS, dtype=np.int64)
+        for batch in batches:
+            for part in _big_slices(batch):
+                tokens = Tokens(part.column(0))
+                found = np.array([place.get(w, -1) for w in tokens.words], dtype=np.int64)[tokens.ids]
+                text, found = tokens.text[found >= 0], found[found >= 0]
+                near = text[1:] == text[:-1]
+                total += np.bincount((found[:-1] * ANCHORS + found[1:])[near], minlength=ANCHORS * ANCHORS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["pair", "n"])
+
+    pairs = texts.mapInArrow(follow, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # at most ANCHORS ** 2 rows
+    shared.unpersist()
+    matrix = np.zeros(ANCHORS * ANCHORS)
+    for r in pairs:
+        matrix[r["pair"]] = r["n"]
+    matrix = matrix.reshape(ANCHORS, ANCHORS)[: len(anchors), : len(anchors)]
+    return {w: int(k) + 1 for w, k in zip(anchors, _clusters(matrix + matrix.T), strict=True)}
 
 
 def _clusters(matrix: np.ndarray) -> np.ndarray:
@@ -127,48 +196,73 @@ def _clusters(matrix: np.ndarray) -> np.ndarray:
     return own
 
 
-def _positions(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all 'state token blank' strings, the token of each byte, its place in the string."""
-    joined = np.frombuffer(b"".join(t + b" " for t in tokens), dtype=np.uint8)
-    sizes = np.fromiter((len(t) + 1 for t in tokens), dtype=np.int64, count=len(tokens))
-    owner = np.repeat(np.arange(len(tokens)), sizes)
-    place = np.arange(len(joined)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return joined, owner, place
+def _count_pairs(docs: DataFrame, classes) -> DataFrame:
+    """key, n_train, n_all of ``docs(held_out, text)``: (state, token) pairs, and segments as mark, context, context and segment.
+
+    Tokens are counted by occurrence, segments by text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[bytes, list[int]] = {}
+
+        def out() -> pa.RecordBatch:
+            train, all_ = ([v[k] for v in counts.values()] for k in range(2))
+            made = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(train, pa.int64()), pa.array(all_, pa.int64())], ["key", "n_train", "n_all"])
+            counts.clear()
+            return made
+
+        for batch in batches:
+            for part in _big_slices(batch):
+                tokens = Tokens(part.column(1))
+                train = ~np.array(part.column(0).to_pylist(), dtype=bool)
+                keys, place = tokens.pairs(classes.value)
+                learned = np.bincount(place, train[tokens.text], minlength=len(keys)).astype(np.int64)
+                for w, t, n in zip(keys, learned.tolist(), np.bincount(place, minlength=len(keys)).tolist(), strict=True):
+                    held = counts.get(w)
+                    if held is None:
+                        counts[w] = [t, n]
+                    else:
+                        held[0] += t
+                        held[1] += n
+                _, text, before, both = tokens.segments()
+                some = before > 0
+                raw = np.column_stack([before[some], both[some]]).astype(">u8").tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([_SEGMENT_MARK + raw[i : i + 16] for i in range(0, len(raw), 16)], pa.binary()),
+                        pa.array(train[text[some]].astype(np.int64)),
+                        pa.array(np.ones(int(some.sum()), dtype=np.int64)),
+                    ],
+                    ["key", "n_train", "n_all"],
+                )
+                if len(counts) > HELD:
+                    yield out()
+        yield out()
 
+    partial = docs.mapInArrow(run, "key binary, n_train long, n_all long")
+    return partial.groupBy("key").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
-def _contexts(joined: np.ndarray) -> list[np.ndarray]:
-    """By order k: the k bytes before each byte, packed, with the order in the top byte."""
-    out, packed = [np.zeros(len(joined), dtype=np.uint64)], np.zeros(len(joined), dtype=np.uint64)
-    wide = joined.astype(np.uint64)
+
+def position_keys(pairs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(pair, key) of every predicted byte: its order, the up to ORDER bytes before it, and itself, packed in 64 bits."""
+    joined = np.frombuffer(b"".join(t + b" " for t in pairs), dtype=np.uint8).astype(np.uint64)
+    sizes = np.fromiter((len(t) + 1 for t in pairs), dtype=np.int64, count=len(pairs))
+    owner = np.repeat(np.arange(len(pairs)), sizes)
+    place = np.arange(len(joined)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    key = joined.copy()
     for k in range(1, ORDER + 1):
-        shifted = np.zeros_like(wide)
-        shifted[k:] = wide[:-k] if k <= len(wide) else 0
-        packed = packed | (shifted << np.uint64(8 * (k - 1)))
-        out.append(packed | (np.uint64(k) << np.uint64(48)))
-    return out
+        key[k:] |= np.where(place[k:] >= k, joined[:-k] if len(joined) > k else 0, np.uint64(0)) << np.uint64(8 * k)
+    key |= np.minimum(place, ORDER).astype(np.uint64) << np.uint64(56)
+    return owner[place > 0], key[place > 0]
 
 
-def trie_counts(tokens: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(nodes, counts): a node is its context (order, bytes) and the symbol, packed in 64 bits."""
-    parts = []
-    for at in range(0, len(tokens), 50_000):
-        joined, owner, place = _positions(tokens[at : at + 50_000])
-        weight = counts[at : at + 50_000][owner].astype(np.float64)
-        keys, weights = [], []
-        for k, context in enumerate(_contexts(joined)):
-            use = (place > 0) & (place >= k)
-            keys.append((context[use] << np.uint64(8)) | joined[use].astype(np.uint64))
-            weights.append(weight[use])
-        found, back = np.unique(np.concatenate(keys), return_inverse=True)
-        parts.append((found, np.bincount(back, np.concatenate(weights), minlength=len(found))))
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    found, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return found, np.bincount(back, np.concatenate([p[1] for p in parts]), minlength=len(found))
+def _nodes_of(key: np.ndarray, order: int) -> np.ndarray:
+    """The nodes of that order of positions that reach it."""
+    return (key & np.uint64((1 << (8 * (order + 1))) - 1)) | np.uint64(order << 56)
 
 
 class Trie:
-    """Sorted nodes with, by context: total T, distinct symbols D, and what a shorter context excludes."""
+    """Sorted nodes (order, context, symbol) with, by context: total T, distinct symbols D, and what a shorter context excludes."""
 
     def __init__(self, nodes: np.ndarray, counts: np.ndarray):
         order = np.argsort(nodes)
@@ -178,41 +272,40 @@ class Trie:
         self.total = np.bincount(back, self.counts, minlength=len(self.contexts))
         self.kinds = np.bincount(back, minlength=len(self.contexts)).astype(np.float64)
         # counts of this context's symbols in the context one byte shorter
-        length = contexts >> np.uint64(48)
-        short = self._shorter(contexts)
-        parent = np.searchsorted(self.nodes, (short << np.uint64(8)) | (self.nodes & np.uint64(255)))
+        length = self.nodes >> np.uint64(56)
+        shorter = np.zeros_like(self.nodes)
+        for k in range(1, ORDER + 1):
+            shorter[length == k] = _nodes_of(self.nodes[length == k], k - 1)
+        parent = np.searchsorted(self.nodes, shorter)
         parent[parent == len(self.nodes)] = 0
         mass = np.where(length > 0, self.counts[parent] if len(parent) else 0.0, 0.0)
         self.excluded = np.bincount(back, mass, minlength=len(self.contexts))
 
-    @staticmethod
-    def _shorter(contexts: np.ndarray) -> np.ndarray:
-        length = contexts >> np.uint64(48)
-        less = np.where(length > 0, length - np.uint64(1), length)
-        keep = (np.uint64(1) << (np.uint64(8) * less)) - np.uint64(1)
-        return (contexts & keep) | (less << np.uint64(48))
-
-    def log10(self, tokens: list[bytes], shard_of: np.ndarray | None = None, shard: int = 0) -> np.ndarray:
-        """log10 probability of each token; with ``shard_of``, of the bytes whose last two context bytes fall in ``shard``."""
-        joined, owner, place = _positions(tokens)
-        contexts = _contexts(joined)
-        ask = place > 0
-        if shard_of is not None:
-            ask &= shard_of[_last_two(contexts[2], contexts[1], place)] == shard
-        at = np.flatnonzero(ask)
-        symbols = joined.astype(np.uint64)
-        logs, left = np.zeros(len(at)), np.ones(len(at), dtype=bool)
-        gone_mass, gone_kinds = np.zeros(len(at)), np.zeros(len(at))  # excluded so far, as seen from the next order
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray, low: tuple[np.ndarray, np.ndarray]) -> Trie:
+        """From positions with their counts, and the nodes of orders 0 and 1."""
+        parts = [low]
+        learned = counts > 0
+        keys, counts = keys[learned], counts[learned]
+        for k in range(2, ORDER + 1):
+            reach = (keys >> np.uint64(56)) >= k
+            found, back = np.unique(_nodes_of(keys[reach], k), return_inverse=True)
+            parts.append((found, np.bincount(back, counts[reach], minlength=len(found))))
+        return cls(*(np.concatenate([p[i] for p in parts]) for i in range(2)))
+
+    def log10(self, keys: np.ndarray) -> np.ndarray:
+        """log10 probability of each position."""
+        logs, left = np.zeros(len(keys)), np.ones(len(keys), dtype=bool)
+        gone_mass, gone_kinds = np.zeros(len(keys)), np.zeros(len(keys))  # excluded so far, as seen from the next order
         for k in range(ORDER, -1, -1):
-            todo = np.flatnonzero(left & (place[at] >= k))
+            todo = np.flatnonzero(left & (keys >> np.uint64(56) >= k))
             if not len(todo) or not len(self.nodes):
                 continue
-            context = contexts[k][at[todo]]
-            c = np.searchsorted(self.contexts, context)
+            node = _nodes_of(keys[todo], k)
+            c = np.searchsorted(self.contexts, node >> np.uint64(8))
             c[c == len(self.contexts)] = 0
-            known = self.contexts[c] == context
-            todo, c, context = todo[known], c[known], context[known]
-            node = (context << np.uint64(8)) | symbols[at[todo]]
+            known = self.contexts[c] == node >> np.uint64(8)
+            todo, c, node = todo[known], c[known], node[known]
             n = np.searchsorted(self.nodes, node)
             n[n == len(self.nodes)] = 0
             hit = self.nodes[n] == node
@@ -226,180 +319,215 @@ class Trie:
             gone_mass[todo], gone_kinds[todo] = self.excluded[c], self.kinds[c]
         rest = np.flatnonzero(left)
         logs[rest] -= np.log10(np.maximum(256 - gone_kinds[rest], 1))
-        return np.bincount(owner[at], logs, minlength=len(tokens)) if len(at) else np.zeros(len(tokens))
-
-
-def _last_two(two: np.ndarray, one: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """The last two context bytes; for a token's first byte only the state is there."""
-    return np.where(place >= 2, two & np.uint64(0xFFFF), one & np.uint64(0xFF)).astype(np.int64)
+        return logs
 
 
-def _shards(nodes: DataFrame, limit: int) -> tuple[np.ndarray, int]:
-    """Shard of each pair of last context bytes so that a shard has about ``limit`` nodes at most."""
-    pair = F.expr("CASE WHEN order >= 2 THEN (node >> 8) & 65535 ELSE -1 END")
-    sizes = nodes.selectExpr("*", "(node >> 56) & 255 AS order").groupBy(pair.alias("pair")).agg(F.count(F.lit(1)).alias("n")).collect()
-    shard_of, shard, held = np.zeros(1 << 16, dtype=np.int32), 0, 0
-    for r in sorted(sizes, key=lambda r: r["pair"]):
-        if r["pair"] < 0:
-            continue
-        if held and held + r["n"] > limit:
-            shard, held = shard + 1, 0
-        shard_of[r["pair"]] = shard
-        held += r["n"]
-    return shard_of, shard + 1
-
-
-def _count_tokens(docs: DataFrame, states) -> DataFrame:
-    """token (with its state), n_train, n_all over ``docs(held_out, text)``."""
+def _count_positions(pairs: DataFrame) -> DataFrame:
+    """key, n (occurrences in training), m (distinct pairs that hold it) of ``pairs(token, n_train)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        train: Counter = Counter()
-        other: Counter = Counter()
+        held = (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
 
-        def out() -> pa.RecordBatch:
-            words = list(train.keys() | other.keys())
-            learned, rest = [train[w] for w in words], [other[w] for w in words]
-            train.clear()
-            other.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(learned, pa.int64()), pa.array([a + b for a, b in zip(learned, rest, strict=True)], pa.int64())], ["token", "n_train", "n_all"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(held[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(h[at : at + 100_000].astype(np.int64)) for h in held], ["key", "n", "m"])
 
         for batch in batches:
-            for part in slices(batch):
-                for held, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                    (other if held else train).update(states.value.keys(tokens_of(text)))
-                if len(train) + len(other) > 1_000_000:
-                    yield out()
-        yield out()
+            for part in slices(batch, "token", rows=50_000):
+                owner, keys = position_keys(part.column(0).to_pylist())
+                found, back = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
+                n = np.concatenate([held[1], part.column(1).to_numpy()[owner]])
+                m = np.concatenate([held[2], np.ones(len(keys))])
+                held = (found, np.bincount(back, n, minlength=len(found)), np.bincount(back, m, minlength=len(found)))
+                if len(found) > 2 * HELD:
+                    yield from out()
+                    held = (found[:0], n[:0], m[:0])
+        yield from out()
+
+    return pairs.mapInArrow(run, "key long, n long, m long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def _score_positions(keys: DataFrame) -> DataFrame:
+    """key, m, lp: log10 probability of every position; groups of like last two context bytes are whole in a task."""
+    low = keys.where("n > 0").groupBy((F.col("key") % 65536).alias("pair")).agg(F.sum("n").alias("n")).collect()  # at most 2 ** 16 rows
+    one = np.array([r["pair"] for r in low], dtype=np.uint64) | np.uint64(1 << 56)
+    n = np.array([r["n"] for r in low], dtype=np.float64)
+    zero, back = np.unique(one & np.uint64(255), return_inverse=True)
+    shared = keys.sparkSession.sparkContext.broadcast((np.concatenate([zero, one]), np.concatenate([np.bincount(back, n, minlength=len(zero)), n])))
 
-    partial = docs.mapInArrow(run, "token binary, n_train long, n_all long")
-    return partial.groupBy("token").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
 
+        def score() -> pa.RecordBatch:
+            key, n, m = (np.concatenate([w[i] for w in waiting]) for i in range(3))
+            lp = Trie.of(key.astype(np.uint64), n, shared.value).log10(key.astype(np.uint64))
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(m), pa.array(lp)], ["key", "m", "lp"])
 
-def _count_nodes(tokens: DataFrame, parts: int) -> DataFrame:
-    """node, n: the trie of all training tokens."""
+        last = None
+        for batch in batches:
+            group, *columns = (c.to_numpy() for c in batch.columns)
+            if not len(group):
+                continue
+            cuts, at = np.flatnonzero(np.diff(group)) + 1, 0
+            if waiting and group[0] != last:
+                cuts = np.concatenate([[0], cuts])
+            for cut in cuts.tolist():
+                if size + cut - at >= TRIE_KEYS:
+                    waiting.append([c[at:cut] for c in columns])
+                    yield score()
+                    waiting, size, at = [], 0, cut
+            waiting.append([c[at:] for c in columns])
+            size, last = size + len(group) - at, group[-1]
+        if waiting:
+            yield score()
+
+    pair = F.expr("CASE WHEN shiftright(key, 56) >= 2 THEN shiftright(key, 8) & 65535 ELSE -1 END")
+    dealt = keys.select(pair.cast("int").alias("pair"), "key", "n", "m").repartition("pair").sortWithinPartitions("pair")
+    return dealt.mapInArrow(run, "key long, m long, lp double")
+
+
+def _score_pairs(pairs: DataFrame) -> DataFrame:
+    """token, n_all, lp of ``pairs(token, n_train, n_all)``."""
+    counted = materialize(_count_positions(pairs.select("token", "n_train")), "ppm-positions")
+    scored = materialize(_score_positions(counted), "ppm-nodes")
+    discard(counted)
+    often = F.col("m") * NODE_SHARE > int(scored.agg(F.sum("m")).first()[0] or 0)
+    got = scored.where(often).toArrow()  # fewer than NODE_SHARE rows
+    order = np.argsort(got["key"].to_numpy())
+    shared = pairs.sparkSession.sparkContext.broadcast((got["key"].to_numpy()[order].astype(np.uint64), got["lp"].to_numpy()[order]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, size = [], [], 0
-        held: tuple | None = None
-
-        def fold() -> tuple:
-            nodes, n = trie_counts(words, np.array(counts, dtype=np.int64))
-            if held is not None:
-                nodes, back = np.unique(np.concatenate([held[0], nodes]), return_inverse=True)
-                n = np.bincount(back, np.concatenate([held[1], n]), minlength=len(nodes))
-            return nodes, n
-
+        known, value = shared.value
         for batch in batches:
-            words += batch.column(0).to_pylist()
-            counts += batch.column(1).to_pylist()
-            size += batch.nbytes
-            if size > 4 << 20:
-                held, words, counts, size = fold(), [], [], 0
-        nodes, n = fold()
-        for at in range(0, len(nodes), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(nodes[at : at + 100_000].astype(np.int64)), pa.array(n[at : at + 100_000].astype(np.int64))], ["node", "n"])
-
-    learned = tokens.where(F.col("n_train") > 0).select("token", "n_train")
-    return learned.coalesce(parts).mapInArrow(run, "node long, n long").groupBy("node").agg(F.sum("n").alias("n"))
-
-
-def _score_tokens(tokens: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``tokens`` with log10 probability ``lp``, in one pass over the tokens for each shard of the trie."""
-    spark = tokens.sparkSession
-    total = nodes.count()
-    shard_of, n_shards = _shards(nodes, SHARD_NODES) if total > SHARD_NODES else (None, 1)
-    out = tokens.select("token", "n_train", "n_all", F.lit(0.0).alias("lp"))
-    for shard in range(n_shards):
-        mine = nodes
-        if shard_of is not None:
-            pairs = [int(p) for p in np.flatnonzero(shard_of == shard)]
-            kept = spark.createDataFrame([(p,) for p in pairs], "pair long")
-            typed = nodes.selectExpr("node", "n", "(node >> 56) & 255 AS order", "(node >> 8) & 65535 AS pair")
-            mine = typed.where("order >= 2").join(F.broadcast(kept), "pair").select("node", "n").unionByName(typed.where("order < 2").select("node", "n"))
-        got = mine.toArrow()
-        trie = spark.sparkContext.broadcast(Trie(got.column(0).to_numpy().astype(np.uint64), got.column(1).to_numpy()))
-
-        def run(batches: Iterator[pa.RecordBatch], trie=trie, shard=shard) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, "token"):
-                    lp = trie.value.log10(part.column(0).to_pylist(), shard_of, shard)
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(part.column(3).to_numpy() + lp)], ["token", "n_train", "n_all", "lp"])
-
-        out = materialize(out.mapInArrow(run, "token binary, n_train long, n_all long, lp double"), "ppm-tokens")
+            for part in slices(batch, "token", rows=50_000):
+                owner, keys = position_keys(part.column(0).to_pylist())
+                at = np.searchsorted(known, keys)
+                at[at == len(known)] = 0
+                hit = known[at] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+                lp = np.bincount(owner[hit], value[at[hit]] if len(known) else None, minlength=len(part))
+                rest = np.flatnonzero(~hit)
+                # a pair's own row has a key that no position can have
+                key = np.concatenate([keys[rest].astype(np.int64), -1 - np.arange(len(part))])
+                which = pa.array(np.concatenate([owner[rest], np.arange(len(part))]))
+                n_all = np.concatenate([np.zeros(len(rest), np.int64), part.column(1).to_numpy()])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(which), pa.array(key), pa.array(n_all), pa.array(np.concatenate([np.zeros(len(rest)), lp.astype(np.float64)]))], ["token", "key", "n_all", "lp"])
+
+    rows = pairs.select("token", "n_all").mapInArrow(run, "token binary, key long, n_all long, lp double")
+    light = scored.where(~often).select("key", F.col("lp").alias("key_lp"))
+    met = rows.join(light, "key", "left")
+    return met.groupBy("token").agg(F.sum("n_all").alias("n_all"), F.sum(F.col("lp") + F.coalesce("key_lp", F.lit(0.0))).alias("lp"))
+
+
+def _meet(rows: DataFrame, table: DataFrame, key: str, weight: str, spread: Column) -> DataFrame:
+    """``rows`` left-joined with ``table`` by a long ``key`` (unique in ``table``; columns as struct ``met``).
+
+    Keys with over 1 in SEGMENT_SHARE of the table's ``weight`` are broadcast (fewer than SEGMENT_SHARE rows);
+    rows that they serve are dealt by ``spread`` to the join of the others.
+    """
+    often = F.col(weight) * SEGMENT_SHARE > int(table.agg(F.sum(weight)).first()[0] or 0)
+    values = F.struct(*[c for c in table.columns if c != key])
+    hot = table.where(often).select(key, values.alias("hot"))
+    rest = table.where(~often).select(F.col(key).alias("join_key"), values.alias("cold"))
+    met = rows.join(F.broadcast(hot), key, "left").withColumn("join_key", F.when(F.col("hot").isNull(), F.col(key)).otherwise(spread))
+    return met.join(rest, "join_key", "left").withColumn("met", F.coalesce("hot", "cold")).drop("join_key", "hot", "cold")
+
+
+def _segment_table(counted: DataFrame) -> DataFrame:
+    """both, c, t, d, uses: followers of all contexts that several texts use."""
+    long = lambda at: F.conv(F.hex(F.substring("key", at, 8)), 16, -10).cast("long")
+    segments = counted.where(F.substring("key", 1, 1) == F.lit(_SEGMENT_MARK)).select(long(2).alias("context"), long(10).alias("both"), F.col("n_train").alias("c"), F.col("n_all").alias("uses"))
+    contexts = segments.groupBy("context").agg(F.sum("c").alias("t"), F.count_if(F.col("c") > 0).alias("d"), F.sum("uses").alias("texts"), F.count(F.lit(1)).alias("followers"))
+    contexts = materialize(contexts.where("texts > 1"), "ppm-contexts")
+    met = _meet(segments, contexts, "context", "followers", F.xxhash64("both"))
+    out = materialize(met.where("met IS NOT NULL").select("both", "c", "met.t", "met.d", "uses"), "ppm-segments")
+    discard(contexts)
     return out
 
 
+def _name(token: bytes) -> bytes:
+    return token if len(token) <= NAME_BYTES else b"\xfe" + md5(token).digest()
+
+
 def score(docs: DataFrame, *, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; learns from rows not held out."""
     spark = docs.sparkSession
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out.alias("held_out"), F.col(f"`{text}`").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    states = spark.sparkContext.broadcast(States.fit(source.select("held_out", "text")))
-    counted = materialize(_count_tokens(source.select("held_out", "text"), states), "ppm-counts")
-    word = F.substring("token", 2, 1 << 30)
-    words = materialize(counted.groupBy(word.alias("word")).agg(F.sum("n_train").alias("n_word")), "ppm-words")
-    distinct = words.where("n_word > 0").count()
-    train_tokens, all_tokens, rows = (int(x or 0) for x in counted.agg(F.sum("n_train"), F.sum("n_all"), F.count(F.lit(1))).first())
-    nodes = materialize(_count_nodes(counted, max(1, rows // 400_000)), "ppm-nodes")
-    scored = _score_tokens(counted, nodes)
-    discard(counted)
-    discard(nodes)
+    train = source.where(~F.col("held_out")).select("text")
+    words = materialize(_count_words(train), "ppm-words")
+    train_tokens, distinct = (int(x or 0) for x in words.agg(F.sum("n"), F.count(F.lit(1))).first())
+    classes = spark.sparkContext.broadcast(fit_classes(train, words))
+    counted = materialize(_count_pairs(source.select("held_out", "text"), classes), "ppm-counts")
+    pairs = counted.where(F.substring("key", 1, 1) != F.lit(_SEGMENT_MARK)).withColumnRenamed("key", "token")
+    all_tokens = int(pairs.agg(F.sum("n_all")).first()[0] or 0)
     below = train_tokens + 0.1 * (distinct + 1)
-    scored = scored.withColumn("word", word).join(words, "word")
-    scored = materialize(scored.select("token", "n_all", (F.col("n_word") > 0).alias("known"), F.log10((F.col("n_word") + 0.1) / F.lit(below)).alias("base"), "lp"), "ppm-scored")
+    n_word = F.coalesce("n", F.lit(0))
+    scored = _score_pairs(pairs).withColumn("word", F.substring("token", 2, (1 << 31) - 1)).join(words, "word", "left")
+    scored = materialize(scored.select("token", "n_all", (n_word > 0).cast("long").alias("known"), F.log10((n_word + 0.1) / F.lit(below)).alias("base"), "lp"), "ppm-scored")
+    segments = _segment_table(counted)
+    discard(counted)
     discard(words)
-    heavy = (F.col("n_all") * HEAVY_SHARE > all_tokens) & (F.octet_length("token") <= HEAVY_BYTES)
-    got = scored.where(heavy).drop("n_all").toArrow()  # fewer than HEAVY_SHARE tokens, HEAVY_BYTES each
-    names = got.column(0).to_pylist()
-    table = np.column_stack([got.column(1).to_numpy(), got.column(2).to_numpy(), got.column(3).to_numpy()]) if names else np.zeros((0, 3))
-    shared = spark.sparkContext.broadcast((dict(zip(names, range(len(names)), strict=True)), table.astype(np.float64)))
+    often = F.col("n_all") * TOKEN_SHARE > all_tokens
+    name = F.when(F.octet_length("token") <= NAME_BYTES, F.col("token")).otherwise(F.concat(F.lit(b"\xfe"), F.unhex(F.md5("token"))))
+    got = scored.where(often).select(name.alias("name"), "known", "base", "lp").toArrow()  # fewer than TOKEN_SHARE rows of up to NAME_BYTES + 24 bytes
+    shared = spark.sparkContext.broadcast(({w: i for i, w in enumerate(got["name"].to_pylist())}, np.column_stack([got[c].to_numpy() for c in ("known", "base", "lp")]).reshape(-1, 3).astype(np.float64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, values = shared.value
         for batch in batches:
-            for part in slices(batch):
-                keys, number, times, n_tokens, sums = [], [], [], [], []
-                rows = part.column(0).to_pylist()
-                for row, text in zip(rows, part.column(3).cast(pa.binary()).to_pylist(), strict=True):
-                    words = states.value.keys(tokens_of(text))
-                    found = list(map(place.get, words))
-                    light = Counter(w for w, f in zip(words, found, strict=True) if f is None)
-                    sums.append(values[[f for f in found if f is not None]].sum(axis=0))
-                    n_tokens.append(len(words))
-                    keys += light
-                    number += [row] * len(light)
-                    times += light.values()
-                n, m = len(rows), len(keys)
-                sums = np.array(sums).reshape(n, 3)
-                # a document's own row has a key that no token can have, a different one each
+            for part in _big_slices(batch):
+                tokens = Tokens(part.column(3))
+                keys, pair = tokens.pairs(classes.value)
+                found = np.array([place.get(_name(k), -1) for k in keys], dtype=np.int64)
+                at, of_text, before, both = tokens.segments()
+                segment = np.repeat(np.arange(len(at)), np.diff(at, append=len(pair)))
+                value = np.vstack([values, np.zeros((1, 3))])[found][pair]
+                sums = [np.bincount(segment, value[:, k], minlength=len(at)) for k in range(3)]
+                light = np.flatnonzero(found[pair] < 0)
+                n, m = len(at), len(light)
+                rows = part.column(0).to_numpy()
+                # a segment's own row has a token that no text can have, a different one each
+                own = pa.array([b" %d" % i for i in range(n)], pa.binary())
+                blank = lambda a: pa.concat_arrays([pa.nulls(m, a.type), a])
+                pad = lambda a: pa.array(np.concatenate([np.zeros(m, dtype=a.dtype), a]))
+                owner = pa.array(of_text)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(number + rows, pa.int64()),
-                        pa.array(keys + [b" %d" % r for r in rows], pa.binary()),
-                        pa.array(times + [0] * n, pa.int64()),
-                        pa.concat_arrays([pa.nulls(m, part.column(1).type), part.column(1)]),
-                        pa.concat_arrays([pa.nulls(m, pa.bool_()), part.column(2)]),
-                        pa.array([0] * m + n_tokens, pa.int64()),
-                        pa.array(np.concatenate([np.zeros(m), sums[:, 0]]).astype(np.int64)),
-                        pa.array(np.concatenate([np.zeros(m), sums[:, 1]])),
-                        pa.array(np.concatenate([np.zeros(m), sums[:, 2]])),
+                        pa.array(np.concatenate([rows[tokens.text[light]], rows[of_text]])),
+                        pa.array(np.concatenate([segment[light] - np.searchsorted(of_text, tokens.text[light]), np.arange(n) - np.searchsorted(of_text, of_text)]).astype(np.int32)),
+                        pa.concat_arrays([pa.array(keys, pa.binary()).take(pa.array(pair[light])), own]),
+                        blank(part.column(1).take(owner)),
+                        blank(part.column(2).take(owner)),
+                        pad(np.diff(at, append=len(pair))),
+                        pad(sums[0].astype(np.int64)),
+                        pad(sums[1].astype(np.float64)),
+                        pad(sums[2].astype(np.float64)),
+                        pad(np.where(before > 0, both, np.uint64(0)).astype(np.int64)),
                     ],
-                    ["row", "token", "times", "doc_id", "held_out", "n_tokens", "n_known", "base", "lp"],
+                    ["row", "segment", "token", "doc_id", "held_out", "n_tokens", "known", "base", "lp", "both"],
                 )
 
     numbered = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    schema = f"row long, token binary, times long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, lp double"
-    met = numbered.mapInArrow(run, schema).join(scored.where(~heavy).select("token", F.col("known").alias("t_known"), F.col("base").alias("t_base"), F.col("lp").alias("t_lp")), "token", "left")
-    light = lambda c: F.coalesce(F.col("times") * F.col(c), F.lit(0))
+    schema = f"row long, segment int, token binary, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, lp double, both long"
+    light = scored.where(~often).select("token", F.col("known").alias("t_known"), F.col("base").alias("t_base"), F.col("lp").alias("t_lp"))
+    met = numbered.mapInArrow(run, schema).join(light, "token", "left")
+    plus = lambda own, other: F.sum(F.col(own) + F.coalesce(F.col(other), F.lit(0)))
+    by_segment = met.groupBy("row", "segment").agg(
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), plus("known", "t_known").alias("known"),
+        plus("base", "t_base").alias("base"), plus("lp", "t_lp").alias("lp"), F.sum("both").alias("both"),
+    )
+    follows = F.col("both") != 0
+    placed = by_segment.withColumn("follows", follows).withColumn("both", F.when(follows, F.col("both")).otherwise(F.xxhash64("row", "segment")))
+    placed = _meet(placed, segments, "both", "uses", F.xxhash64("row", "segment"))
+    mine = F.when(F.col("held_out"), 0).otherwise(1)
+    c, t = F.col("met.c") - mine, F.col("met.t") - mine
+    d = F.col("met.d") - F.when(c == 0, mine).otherwise(0)
+    lp = F.when(~F.col("follows") | (F.coalesce(t, F.lit(0)) <= 0), F.col("lp")).when(c > 0, F.log10((c - 0.5) / t)).otherwise(F.col("lp") + F.log10(0.5 * d / t))
     return (
-        met.groupBy("row")
+        placed.groupBy("row")
         .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + F.when(F.col("t_known"), F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + light("t_base")).alias("base_score"),
-            F.sum(F.col("lp") + light("t_lp")).alias("score"),
+            F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
+            F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum(lp).alias("score"),
         )
         .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
-    )
+    )

@@ -130,12 +130,6 @@ def test_language_and_quality_defined_cases(docs):
     assert {r.score for r in quality.score(docs, nothing).collect()} == {0.5}
 
 
-def test_ppm_base_by_brute_force(docs):
-    rows = ppm.score(docs, held_out=queries.held_out(10)).collect()
-    assert len(rows) == docs.count() and all(r.score < 0 and r.base_score < 0 for r in rows)
-    assert ppm.score(empty(docs), held_out=queries.held_out(10)).count() == 0
-
-
 def test_ppm_base_score_by_hand(docs):
     rows = docs.select("doc_id", "text").collect()
     tokens = [[*(r.text or "").encode().lower().split(), b"\n"] for r in rows]
@@ -147,23 +141,6 @@ def test_ppm_base_score_by_hand(docs):
     assert sorted((r.held_out, r.n_tokens, round(r.base_score, 6)) for r in got) == want
 
 
-def test_anchors_are_the_most_frequent_words_of_all_tasks(spark):
-    texts = [" ".join([f"w{i}x{k}" for k in range(2100)] * 2 + ["everywhere"] + ["long" * 20] * 9) for i in range(4)]
-    docs = spark.createDataFrame(spark.sparkContext.parallelize([(False, t) for t in texts] + [(True, "held out " * 9)], 5), "held_out boolean, text string")
-    counts = {}
-    for t in texts:
-        for w in t.encode().split():
-            counts[w] = counts.get(w, 0) + 1
-    most = sorted((w for w in counts if len(w) <= 64), key=lambda w: (-counts[w], w))[:255]
-    assert most[0] == b"everywhere" and set(ppm.States.fit(docs).classes) == set(most)
-
-
-def test_trie_shards_add_up(monkeypatch, docs):
-    whole = sorted((r.n_tokens, round(r.score, 6)) for r in ppm.score(docs, held_out=queries.held_out(10)).collect())
-    monkeypatch.setattr(ppm, "SHARD_NODES", 500)
-    assert sorted((r.n_tokens, round(r.score, 6)) for r in ppm.score(docs, held_out=queries.held_out(10)).collect()) == whole
-
-
 def test_top_k_by_brute_force(spark):
     rng = np.random.default_rng(2)
     x = rng.integers(-50, 50, (300, 12)).astype(float)
