@@ -2,8 +2,8 @@
 
 Tokens are lower-cased (A-Z) white-space words and one end token a document. A text
 is a chain of segments: a segment ends with a token that ends in a full stop, question
-or exclamation mark, after ``SEGMENT`` tokens, or with the text. The longest context is
-the whole segment before; where a text escapes from it, or has none, the segment's tokens
+or exclamation mark if it is its ``LEAST``-th or a later one, after ``SEGMENT`` tokens, or
+with the text. The longest context is the whole segment before; where a text escapes from it, or has none, the segment's tokens
 are predicted byte by byte.
 
 Segments: the trie node of a context holds the segments that follow it in training texts,
@@ -26,10 +26,10 @@ Plan: words are counted exactly, then classes, then distinct (state, token) pair
 (context, segment) pairs in one pass. The trie of bytes never leaves the executors: all
 orders of a position share its last two context bytes, so its longest contexts are dealt
 by those, a task builds the nodes of its own groups, and just orders 0 and 1 (65,792
-nodes at most) go round. Distinct pairs meet their positions' scores, documents meet their
-pairs' scores, and segments meet theirs in the same way: keys that hold over a fixed share
-of all rows, of which there can be but so many, are broadcast, all others meet in a shuffle
-join in which no key is hot.
+nodes at most) go round. Distinct pairs meet their positions' scores, and documents those of
+their pairs and segments, in the same way: keys that hold over a fixed share of all rows, of
+which there can be but so many, are broadcast (pairs by a 64-bit hash), all others meet in a
+shuffle join in which no key is hot. A document's rows then come together once.
 
 Defined cases: a null text counts as empty (just the end token); an empty table gives an
 empty result; without training rows all counts are 0 and each byte costs log10(256);
@@ -39,7 +39,6 @@ repeated rows are texts of their own; a token may be as long as the text; null i
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -51,13 +50,12 @@ from pyspark.sql import functions as F
 from switchyard.llm.arrowtext import slices
 from switchyard.storage import discard, materialize
 
-ORDER, SEGMENT = 5, 16
+ORDER, LEAST, SEGMENT = 5, 8, 32
 #: Tokens, byte contexts and segments that make up over one in so many of their kind are broadcast.
-TOKEN_SHARE, NODE_SHARE, SEGMENT_SHARE = 1 << 20, 1 << 18, 1 << 14
-#: Longer tokens go by their md5 where they are broadcast.
-NAME_BYTES = 64
+TOKEN_SHARE, NODE_SHARE, SEGMENT_SHARE = 1 << 21, 1 << 20, 1 << 14
 END = b"\n"
-ANCHORS, CLASSES = 255, 12
+#: Anchor words, their longest length in bytes, and their classes.
+ANCHORS, ANCHOR_BYTES, CLASSES = 255, 64, 8
 #: Positions that a task turns into a trie at a time, and tokens that it counts before it hands them on.
 TRIE_KEYS, HELD = 500_000, 1_000_000
 _STATES = [bytes([k]) for k in (0, *range(1, 9), *range(14, 32))]
@@ -106,11 +104,19 @@ class Tokens:
     def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """By segment: first token, text, hash of the segment before (0: none, or used before in this text), hash of both."""
         stops = np.array([w[-1] in b".!?" for w in self.words], dtype=bool)[self.ids]
-        begins = np.zeros(len(self.ids), dtype=bool)
+        begins = np.zeros(len(self.ids) + 1, dtype=bool)
         begins[self.starts] = True
-        begins[1:] |= stops[:-1]
-        first = np.maximum.accumulate(np.where(begins, np.arange(len(begins)), 0))
-        begins |= (np.arange(len(begins)) - first) % SEGMENT == 0
+        # where a segment may begin, and by token the next such place
+        may = np.flatnonzero(np.concatenate([[False], stops]) | begins)
+        following = np.append(may, len(stops))[np.searchsorted(may, np.arange(len(stops) + 1))]
+        last = np.append(self.starts[1:], len(stops))
+        open_, end = self.starts[self.counts > LEAST], last[self.counts > LEAST]
+        while len(open_):  # the next segments of all texts that have more
+            open_ = np.minimum(following[np.minimum(open_ + LEAST, end)], open_ + SEGMENT)
+            more = open_ < end
+            open_, end = open_[more], end[more]
+            begins[open_] = True
+        begins = begins[:-1]
         at = np.flatnonzero(begins)
         if not len(at):
             return at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
@@ -155,7 +161,7 @@ def _count_words(texts: DataFrame) -> DataFrame:
 
 def fit_classes(texts: DataFrame, words: DataFrame) -> dict[bytes, int]:
     """Class (from 1) of each anchor word, from the training ``texts(text)`` and their ``words(word, n)``."""
-    usual = words.where((F.octet_length("word") <= NAME_BYTES) & (F.col("word") != F.lit(END)))
+    usual = words.where((F.octet_length("word") <= ANCHOR_BYTES) & (F.col("word") != F.lit(END)))
     anchors = [bytes(r["word"]) for r in usual.orderBy(F.desc("n"), "word").limit(ANCHORS).collect()]
     if not anchors:
         return {}
@@ -396,56 +402,73 @@ def _score_pairs(pairs: DataFrame) -> DataFrame:
     order = np.argsort(got["key"].to_numpy())
     shared = pairs.sparkSession.sparkContext.broadcast((got["key"].to_numpy()[order].astype(np.uint64), got["lp"].to_numpy()[order]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, value = shared.value
-        for batch in batches:
-            for part in slices(batch, "token", rows=50_000):
-                owner, keys = position_keys(part.column(0).to_pylist())
-                at = np.searchsorted(known, keys)
-                at[at == len(known)] = 0
-                hit = known[at] == keys if len(known) else np.zeros(len(keys), dtype=bool)
-                lp = np.bincount(owner[hit], value[at[hit]] if len(known) else None, minlength=len(part))
-                rest = np.flatnonzero(~hit)
-                # a pair's own row has a key that no position can have
-                key = np.concatenate([keys[rest].astype(np.int64), -1 - np.arange(len(part))])
-                which = pa.array(np.concatenate([owner[rest], np.arange(len(part))]))
-                n_all = np.concatenate([np.zeros(len(rest), np.int64), part.column(1).to_numpy()])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(which), pa.array(key), pa.array(n_all), pa.array(np.concatenate([np.zeros(len(rest)), lp.astype(np.float64)]))], ["token", "key", "n_all", "lp"])
-
-    rows = pairs.select("token", "n_all").mapInArrow(run, "token binary, key long, n_all long, lp double")
-    light = scored.where(~often).select("key", F.col("lp").alias("key_lp"))
-    met = rows.join(light, "key", "left")
-    return met.groupBy("token").agg(F.sum("n_all").alias("n_all"), F.sum(F.col("lp") + F.coalesce("key_lp", F.lit(0.0))).alias("lp"))
+    def scored_by(whole: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, value = shared.value
+            for batch in batches:
+                for part in slices(batch, "token", rows=50_000):
+                    owner, keys = position_keys(part.column(0).to_pylist())
+                    at = np.searchsorted(known, keys)
+                    at[at == len(known)] = 0
+                    hit = known[at] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+                    lp = np.bincount(owner[hit], value[at[hit]] if len(known) else None, minlength=len(part)).astype(np.float64)
+                    open_ = np.bincount(owner[~hit], minlength=len(part)) > 0
+                    mine, rest = np.flatnonzero(open_ != whole), np.flatnonzero(~hit if not whole else hit[:0])
+                    # a pair's own row has a key that no position can have
+                    key = np.concatenate([keys[rest].astype(np.int64), -1 - mine])
+                    which = np.concatenate([owner[rest], mine])
+                    n_all = np.concatenate([np.zeros(len(rest), np.int64), part.column(1).to_numpy()[mine]])
+                    lp = np.concatenate([np.zeros(len(rest)), lp[mine]])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(which)), pa.array(key), pa.array(n_all), pa.array(lp)], ["token", "key", "n_all", "lp"])
+
+        return pairs.select("token", "n_all").mapInArrow(run, "token binary, key long, n_all long, lp double")
 
-
-def _meet(rows: DataFrame, table: DataFrame, key: str, weight: str, spread: Column) -> DataFrame:
-    """``rows`` left-joined with ``table`` by a long ``key`` (unique in ``table``; columns as struct ``met``).
-
-    Keys with over 1 in SEGMENT_SHARE of the table's ``weight`` are broadcast (fewer than SEGMENT_SHARE rows);
-    rows that they serve are dealt by ``spread`` to the join of the others.
-    """
-    often = F.col(weight) * SEGMENT_SHARE > int(table.agg(F.sum(weight)).first()[0] or 0)
-    values = F.struct(*[c for c in table.columns if c != key])
-    hot = table.where(often).select(key, values.alias("hot"))
-    rest = table.where(~often).select(F.col(key).alias("join_key"), values.alias("cold"))
-    met = rows.join(F.broadcast(hot), key, "left").withColumn("join_key", F.when(F.col("hot").isNull(), F.col(key)).otherwise(spread))
-    return met.join(rest, "join_key", "left").withColumn("met", F.coalesce("hot", "cold")).drop("join_key", "hot", "cold")
+    light = scored.where(~often).select("key", F.col("lp").alias("key_lp"))
+    met = scored_by(False).join(light, "key", "left")
+    met = met.groupBy("token").agg(F.sum("n_all").alias("n_all"), F.sum(F.col("lp") + F.coalesce("key_lp", F.lit(0.0))).alias("lp"))
+    return met.unionByName(scored_by(True).drop("key"))
 
 
 def _segment_table(counted: DataFrame) -> DataFrame:
-    """both, c, t, d, uses: followers of all contexts that several texts use."""
-    long = lambda at: F.conv(F.hex(F.substring("key", at, 8)), 16, -10).cast("long")
-    segments = counted.where(F.substring("key", 1, 1) == F.lit(_SEGMENT_MARK)).select(long(2).alias("context"), long(10).alias("both"), F.col("n_train").alias("c"), F.col("n_all").alias("uses"))
+    """key (mark and hash), c, t, d, uses: followers of all contexts that several texts use."""
+    marked = counted.where(F.substring("key", 1, 1) == F.lit(_SEGMENT_MARK))
+    segments = marked.select(F.substring("key", 2, 8).alias("context"), F.concat(F.lit(_SEGMENT_MARK), F.substring("key", 10, 8)).alias("key"), F.col("n_train").alias("c"), F.col("n_all").alias("uses"))
     contexts = segments.groupBy("context").agg(F.sum("c").alias("t"), F.count_if(F.col("c") > 0).alias("d"), F.sum("uses").alias("texts"), F.count(F.lit(1)).alias("followers"))
     contexts = materialize(contexts.where("texts > 1"), "ppm-contexts")
-    met = _meet(segments, contexts, "context", "followers", F.xxhash64("both"))
-    out = materialize(met.where("met IS NOT NULL").select("both", "c", "met.t", "met.d", "uses"), "ppm-segments")
+    often = F.col("followers") * SEGMENT_SHARE > int(contexts.agg(F.sum("followers")).first()[0] or 0)
+    hot = contexts.where(often).select("context", F.struct("t", "d").alias("hot"))  # fewer than SEGMENT_SHARE rows
+    rest = contexts.where(~often).select(F.col("context").alias("join_key"), F.struct("t", "d").alias("cold"))
+    # rows that the broadcast serves go by their own key to the join of the others
+    met = segments.join(F.broadcast(hot), "context", "left").withColumn("join_key", F.when(F.col("hot").isNull(), F.col("context")).otherwise(F.col("key")))
+    met = met.join(rest, "join_key", "left").withColumn("met", F.coalesce("hot", "cold")).where("met IS NOT NULL")
+    out = materialize(met.select("key", "c", "met.t", "met.d", "uses"), "ppm-segments")
     discard(contexts)
     return out
 
 
-def _name(token: bytes) -> bytes:
-    return token if len(token) <= NAME_BYTES else b"\xfe" + md5(token).digest()
+def _hashes(tokens: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(t) for t in tokens], dtype=np.uint64)
+
+
+def _hashed(rows: DataFrame) -> tuple[np.ndarray, ...]:
+    """Columns of ``rows(key, x, y, z)``, with the key's hash, sorted by it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column(0).to_pylist()).astype(np.int64)), *batch.columns[1:]], ["key", "x", "y", "z"])
+
+    got = rows.mapInArrow(run, "key long, x double, y double, z double").toArrow()
+    key = got["key"].to_numpy().astype(np.uint64)
+    order = np.argsort(key)
+    return (key[order], *(got[c].to_numpy()[order] for c in "xyz"))
+
+
+def _look_up(table: tuple[np.ndarray, ...], keys: list[bytes]) -> np.ndarray:
+    """Places of keys in a hashed table, -1 where it lacks them."""
+    wanted = _hashes(keys)
+    at = np.searchsorted(table[0], wanted)
+    at[at == len(table[0])] = -1
+    return np.where((at >= 0) & (table[0][at] == wanted), at, -1) if len(table[0]) else np.full(len(keys), -1)
 
 
 def score(docs: DataFrame, *, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -461,73 +484,109 @@ def score(docs: DataFrame, *, held_out: Column, doc_id: str = "doc_id", text: st
     pairs = counted.where(F.substring("key", 1, 1) != F.lit(_SEGMENT_MARK)).withColumnRenamed("key", "token")
     all_tokens = int(pairs.agg(F.sum("n_all")).first()[0] or 0)
     below = train_tokens + 0.1 * (distinct + 1)
-    n_word = F.coalesce("n", F.lit(0))
     scored = _score_pairs(pairs).withColumn("word", F.substring("token", 2, (1 << 31) - 1)).join(words, "word", "left")
-    scored = materialize(scored.select("token", "n_all", (n_word > 0).cast("long").alias("known"), F.log10((n_word + 0.1) / F.lit(below)).alias("base"), "lp"), "ppm-scored")
+    scored = materialize(scored.select("token", "n_all", F.coalesce("n", F.lit(0)).alias("n_word"), "lp"), "ppm-scored")
     segments = _segment_table(counted)
     discard(counted)
     discard(words)
+    # what is looked up: x, y, z are a token's count and log10 probability, or a segment's c, t and d
+    d = lambda name: F.col(name).cast("double")
     often = F.col("n_all") * TOKEN_SHARE > all_tokens
-    name = F.when(F.octet_length("token") <= NAME_BYTES, F.col("token")).otherwise(F.concat(F.lit(b"\xfe"), F.unhex(F.md5("token"))))
-    got = scored.where(often).select(name.alias("name"), "known", "base", "lp").toArrow()  # fewer than TOKEN_SHARE rows of up to NAME_BYTES + 24 bytes
-    shared = spark.sparkContext.broadcast(({w: i for i, w in enumerate(got["name"].to_pylist())}, np.column_stack([got[c].to_numpy() for c in ("known", "base", "lp")]).reshape(-1, 3).astype(np.float64)))
+    usual = F.col("uses") * SEGMENT_SHARE > int(segments.agg(F.sum("uses")).first()[0] or 0)
+    of_token = scored.select(F.col("token").alias("key"), d("n_word").alias("x"), F.col("lp").alias("y"), F.lit(0.0).alias("z"), often.alias("often"))
+    of_segment = segments.select("key", d("c").alias("x"), d("t").alias("y"), d("d").alias("z"), usual.alias("often"))
+    hot_tokens = spark.sparkContext.broadcast(_hashed(of_token.where("often").drop("often")))  # fewer than TOKEN_SHARE rows of 32 bytes
+    hot_segments = spark.sparkContext.broadcast(_hashed(of_segment.where("often").drop("often")))  # fewer than SEGMENT_SHARE rows
+    cold = of_token.unionByName(of_segment).where("NOT often").select("key", F.struct("x", "y", "z").alias("met"))
+    base_of = lambda n: np.log10((n + 0.1) / below)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, values = shared.value
         for batch in batches:
             for part in _big_slices(batch):
                 tokens = Tokens(part.column(3))
                 keys, pair = tokens.pairs(classes.value)
-                found = np.array([place.get(_name(k), -1) for k in keys], dtype=np.int64)
+                found = _look_up(hot_tokens.value, keys)
+                count, lp = (np.append(c, 0.0)[found] for c in hot_tokens.value[1:3])
+                heavy = found >= 0
+                base = np.where(heavy, base_of(count), 0.0)
                 at, of_text, before, both = tokens.segments()
                 segment = np.repeat(np.arange(len(at)), np.diff(at, append=len(pair)))
-                value = np.vstack([values, np.zeros((1, 3))])[found][pair]
-                sums = [np.bincount(segment, value[:, k], minlength=len(at)) for k in range(3)]
-                light = np.flatnonzero(found[pair] < 0)
-                n, m = len(at), len(light)
+                first = np.searchsorted(of_text, np.arange(tokens.n_texts))
+                sums = np.bincount(segment, lp[pair], minlength=len(at))
+                of_doc = lambda v: np.bincount(tokens.text, v[pair], minlength=tokens.n_texts)
+                light, asked = np.flatnonzero(~heavy[pair]), np.flatnonzero(before > 0)
+                raw = both[asked].astype(">u8").tobytes()
+                marked = [_SEGMENT_MARK + raw[i : i + 8] for i in range(0, len(raw), 8)]
+                hot = _look_up(hot_segments.value, marked)
                 rows = part.column(0).to_numpy()
-                # a segment's own row has a token that no text can have, a different one each
-                own = pa.array([b" %d" % i for i in range(n)], pa.binary())
-                blank = lambda a: pa.concat_arrays([pa.nulls(m, a.type), a])
-                pad = lambda a: pa.array(np.concatenate([np.zeros(m, dtype=a.dtype), a]))
-                owner = pa.array(of_text)
+                n, m, q = tokens.n_texts, len(light), len(asked)
+                # rows that need no look-up have a key that no token or segment can have
+                own = [b" %d" % r for r in rows.tolist()]
+                text = of_text[asked]
+                asked_keys = [own[t] if h >= 0 else k for t, h, k in zip(text.tolist(), hot.tolist(), marked, strict=True)]
+                known = [np.append(c, np.nan)[hot] for c in hot_segments.value[1:]]
+                place = np.concatenate([segment[light] - first[tokens.text[light]], -2 - (asked - first[text]), np.full(n, -1)])
+                blank = lambda a: pa.concat_arrays([pa.nulls(m + q, a.type), a])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([rows[tokens.text[light]], rows[of_text]])),
-                        pa.array(np.concatenate([segment[light] - np.searchsorted(of_text, tokens.text[light]), np.arange(n) - np.searchsorted(of_text, of_text)]).astype(np.int32)),
-                        pa.concat_arrays([pa.array(keys, pa.binary()).take(pa.array(pair[light])), own]),
-                        blank(part.column(1).take(owner)),
-                        blank(part.column(2).take(owner)),
-                        pad(np.diff(at, append=len(pair))),
-                        pad(sums[0].astype(np.int64)),
-                        pad(sums[1].astype(np.float64)),
-                        pad(sums[2].astype(np.float64)),
-                        pad(np.where(before > 0, both, np.uint64(0)).astype(np.int64)),
+                        pa.array(np.concatenate([rows[tokens.text[light]], rows[text], rows])),
+                        pa.array(place.astype(np.int32)),
+                        pa.concat_arrays([pa.array(keys, pa.binary()).take(pa.array(pair[light])), pa.array(asked_keys, pa.binary()), pa.array(own, pa.binary())]),
+                        *(pa.array(np.concatenate([np.full(m, np.nan), k, np.full(n, np.nan)])) for k in known),
+                        blank(part.column(1)),
+                        blank(part.column(2)),
+                        blank(pa.array(tokens.counts)),
+                        blank(pa.array(of_doc((count > 0).astype(float)).astype(np.int64))),
+                        blank(pa.array(of_doc(base))),
+                        blank(pa.array([sums[a:b].tobytes() for a, b in zip(first, np.append(first[1:], len(at)), strict=True)], pa.binary())),
                     ],
-                    ["row", "segment", "token", "doc_id", "held_out", "n_tokens", "known", "base", "lp", "both"],
+                    ["row", "place", "key", "x", "y", "z", "doc_id", "held_out", "n_tokens", "known", "base", "sums"],
                 )
 
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A document's row, with its sums by segment, and what was found for its tokens and segments."""
+
+        def whole(part: pa.RecordBatch) -> pa.RecordBatch:
+            row, place, x, y, z = (c.to_numpy() for c in part.columns[:5])
+            docs_at = np.flatnonzero(place == -1)
+            own = part.take(pa.array(docs_at))
+            doc = np.searchsorted(row[docs_at], row)
+            held, n_known, base, sums = (own.column(i) for i in (6, 8, 9, 10))
+            by_segment = [np.frombuffer(b) for b in sums.to_pylist()]
+            first = np.cumsum([0, *map(len, by_segment)])
+            lp = np.concatenate(by_segment)
+            token = place >= 0
+            np.add.at(lp, first[doc[token]] + place[token], y[token])
+            extra = np.bincount(doc[token], base_of(x[token]), minlength=len(own))
+            more = np.bincount(doc[token], x[token] > 0, minlength=len(own)).astype(np.int64)
+            seen = np.flatnonzero(place < -1)
+            at, mine = first[doc[seen]] - 2 - place[seen], 1.0 - np.array(held.to_pylist(), dtype=float)[doc[seen]]
+            c, t = x[seen] - mine, y[seen] - mine
+            d = z[seen] - mine * (c == 0)
+            use = t > 0
+            at, c, t, d = at[use], c[use], t[use], d[use]
+            lp[at] = np.where(c > 0, np.log10(np.maximum(c - 0.5, 0.5) / t), lp[at] + np.log10(np.maximum(d, 1) / (2 * t)))
+            score = np.add.reduceat(lp, first[:-1])
+            return pa.RecordBatch.from_arrays(
+                [own.column(5), held, own.column(7), pa.array(n_known.to_numpy() + more), pa.array(np.full(len(own), train_tokens)), pa.array(base.to_numpy() + extra), pa.array(score)],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            row = batch.column(0).to_numpy()
+            cut = int(np.searchsorted(row, row[-1])) if len(row) else 0
+            if cut or (waiting and len(row) and waiting[-1].column(0)[-1].as_py() != row[0]):
+                yield whole(pa.concat_batches([*waiting, batch.slice(0, cut)]))
+                waiting = []
+            waiting.append(batch.slice(cut))
+        if waiting and sum(map(len, waiting)):
+            yield whole(pa.concat_batches(waiting))
+
     numbered = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
-    schema = f"row long, segment int, token binary, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, lp double, both long"
-    light = scored.where(~often).select("token", F.col("known").alias("t_known"), F.col("base").alias("t_base"), F.col("lp").alias("t_lp"))
-    met = numbered.mapInArrow(run, schema).join(light, "token", "left")
-    plus = lambda own, other: F.sum(F.col(own) + F.coalesce(F.col(other), F.lit(0)))
-    by_segment = met.groupBy("row", "segment").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), plus("known", "t_known").alias("known"),
-        plus("base", "t_base").alias("base"), plus("lp", "t_lp").alias("lp"), F.sum("both").alias("both"),
-    )
-    follows = F.col("both") != 0
-    placed = by_segment.withColumn("follows", follows).withColumn("both", F.when(follows, F.col("both")).otherwise(F.xxhash64("row", "segment")))
-    placed = _meet(placed, segments, "both", "uses", F.xxhash64("row", "segment"))
-    mine = F.when(F.col("held_out"), 0).otherwise(1)
-    c, t = F.col("met.c") - mine, F.col("met.t") - mine
-    d = F.col("met.d") - F.when(c == 0, mine).otherwise(0)
-    lp = F.when(~F.col("follows") | (F.coalesce(t, F.lit(0)) <= 0), F.col("lp")).when(c > 0, F.log10((c - 0.5) / t)).otherwise(F.col("lp") + F.log10(0.5 * d / t))
-    return (
-        placed.groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
-            F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum(lp).alias("score"),
-        )
-        .select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
-    )
+    schema = f"row long, place int, key binary, x double, y double, z double, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, sums binary"
+    met = numbered.mapInArrow(run, schema).join(cold, "key", "left")
+    found = [F.coalesce(F.col("met")[c], F.when(~F.isnan(c), F.col(c))).alias(c) for c in "xyz"]
+    met = met.select("row", "place", *found, "doc_id", "held_out", "n_tokens", "known", "base", "sums")
+    met = met.where("place = -1 OR x IS NOT NULL").fillna(0.0, ["x", "y", "z"])
+    return met.repartition("row").sortWithinPartitions("row").mapInArrow(finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -9,7 +9,9 @@ from switchyard.llm import ppm, queries
 TEXTS = [
     None, "", " ", "The cat sat. The cat ran! No", "the cat sat. The Cat ran! no\nmore words here", "the cat sat. a dog ran! no",
     "x\x85y\x1cz é 漢字", "long" * 40 + " long" * 40, " ".join(f"w{i % 7}" for i in range(60)), " ".join(f"w{i % 7}" for i in range(60)),
-    "le chat. le chat. le chat. le chien.", "le chat. le chat. le chien.", "a", "b. b. b. b. a",
+    "le chat. le chat. le chat. le chien. " * 9, "le chat. le chat. le chat. le chien. " * 5 + "fin", "a", "b. b. b. b. a",
+    "one two three four five six seven eight. nine. ten eleven twelve one two three four. end of it all", "one two three four five six seven eight. nine. ten eleven",
+    "one two three four five six seven eight. nine. ten eleven twelve one two three four. end of it all",
 ]
 
 
@@ -21,7 +23,7 @@ def plain_segments(tokens):
     out, now = [], []
     for t in tokens:
         now.append(t)
-        if t[-1:] in (b".", b"!", b"?") or len(now) == ppm.SEGMENT:
+        if (t[-1:] in (b".", b"!", b"?") and len(now) >= ppm.LEAST) or len(now) == ppm.SEGMENT:
             out.append(tuple(now))
             now = []
     return out + ([tuple(now)] if now else [])
