@@ -22,7 +22,7 @@ D / 2T, and after an escape the longer context's symbols are excluded; since the
 static those masses are properties of a context and are kept with it. Below order 0 the
 bytes not seen at all share the rest equally.
 
-Plan: words are counted exactly, then classes, then distinct (state, token) pairs and
+Plan: anchor words are counted exactly, then distinct (state, token) pairs and
 (context, segment) pairs in one pass. The trie of bytes never leaves the executors: all
 orders of a position share its last two context bytes, so its longest contexts are dealt
 by those, a task builds the nodes of its own groups, and just orders 0 and 1 (65,792
@@ -46,6 +46,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from switchyard.llm.arrowtext import slices
 from switchyard.storage import discard, materialize
@@ -56,6 +57,8 @@ TOKEN_SHARE, NODE_SHARE, SEGMENT_SHARE = 1 << 21, 1 << 20, 1 << 14
 END = b"\n"
 #: Anchor words, their longest length in bytes, and their classes.
 ANCHORS, ANCHOR_BYTES, CLASSES = 255, 64, 8
+#: Words that a task saw so often are kept back at first, if that leaves at most so many words that may be anchors.
+SLACK, MOST_LIKELY = 16, 1000
 #: Positions that a task turns into a trie at a time, and tokens that it counts before it hands them on.
 TRIE_KEYS, HELD = 500_000, 1_000_000
 _STATES = [bytes([k]) for k in (0, *range(1, 9), *range(14, 32))]
@@ -73,19 +76,22 @@ class Tokens:
 
     def __init__(self, texts: pa.Array):
         split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
-        flat, owner = split.flatten(), pc.list_parent_indices(split)
-        some = pc.greater(pc.binary_length(flat), 0)
-        flat, owner = flat.filter(some), owner.filter(some).to_numpy()
-        coded = flat.dictionary_encode()
+        coded = split.flatten().dictionary_encode()
         self.words: list[bytes] = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
+        ids, sizes = coded.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+        # white space at an end of a text leaves an empty string there
+        some = ids != (self.words.index(b"") if b"" in self.words else -1)
+        gone = np.zeros(len(some) + 1, dtype=np.int64)
+        np.cumsum(~some, out=gone[1:])
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
         self.n_texts = len(texts)
-        self.counts = np.bincount(owner, minlength=len(texts)) + 1
+        self.counts = sizes - np.diff(gone[bounds]) + 1
         ends = np.cumsum(self.counts) - 1
         self.starts = ends - self.counts + 1
         self.ids = np.full(int(self.counts.sum()), len(self.words) - 1, dtype=np.int64)
         inner = np.ones(len(self.ids), dtype=bool)
         inner[ends] = False
-        self.ids[inner] = coded.indices.to_numpy()
+        self.ids[inner] = ids[some]
         self.text = np.repeat(np.arange(len(texts)), self.counts)
 
     def states(self, classes: dict[bytes, int]) -> np.ndarray:
@@ -98,12 +104,15 @@ class Tokens:
     def pairs(self, classes: dict[bytes, int]) -> tuple[list[bytes], np.ndarray]:
         """Distinct (state, token) pairs as bytes, and by token its pair."""
         n = len(self.words)
-        codes, place = np.unique(self.states(classes) * n + self.ids, return_inverse=True)
-        return [_STATES[c // n] + self.words[c % n] for c in codes.tolist()], place
+        codes = self.states(classes) * n + self.ids
+        seen = np.zeros(n * (1 + max(classes.values(), default=0)), dtype=bool)
+        seen[codes] = True
+        places = np.cumsum(seen) - 1
+        return [_STATES[c // n] + self.words[c % n] for c in np.flatnonzero(seen).tolist()], places[codes]
 
     def segments(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """By segment: first token, text, hash of the segment before (0: none, or used before in this text), hash of both."""
-        stops = np.array([w[-1] in b".!?" for w in self.words], dtype=bool)[self.ids]
+        stops = np.array([w[-1:] in (b".", b"!", b"?") for w in self.words], dtype=bool)[self.ids]
         begins = np.zeros(len(self.ids) + 1, dtype=bool)
         begins[self.starts] = True
         # where a segment may begin, and by token the next such place
@@ -136,14 +145,19 @@ def _big_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     return slices(batch, rows=8192)
 
 
-def _count_words(texts: DataFrame) -> DataFrame:
-    """word, n over all tokens of ``texts(text)``."""
+def _likely_anchors(texts: DataFrame, slack: int) -> list[bytes]:
+    """All words that may be among the ANCHORS most frequent ones.
+
+    Tasks keep back words that they saw at most ``slack`` times, so a word's count is known up to ``slack`` for
+    each time that a task handed on its counts. Where that doesn't tell enough words apart, tasks keep nothing back.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[bytes, int] = {}
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+            some = [w for w, n in counts.items() if n > slack and len(w) <= ANCHOR_BYTES and w != END]
+            made = pa.RecordBatch.from_arrays([pa.array([None, *some], pa.binary()), pa.array([1, *map(counts.get, some)], pa.int64())], ["word", "n"])
             counts.clear()
             return made
 
@@ -156,36 +170,48 @@ def _count_words(texts: DataFrame) -> DataFrame:
                     yield out()
         yield out()
 
-    return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 0")
-
-
-def fit_classes(texts: DataFrame, words: DataFrame) -> dict[bytes, int]:
-    """Class (from 1) of each anchor word, from the training ``texts(text)`` and their ``words(word, n)``."""
-    usual = words.where((F.octet_length("word") <= ANCHOR_BYTES) & (F.col("word") != F.lit(END)))
-    anchors = [bytes(r["word"]) for r in usual.orderBy(F.desc("n"), "word").limit(ANCHORS).collect()]
-    if not anchors:
+    known = materialize(texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "ppm-words")
+    kept_back = slack * int(known.where("word IS NULL").agg(F.sum("n")).first()[0] or 0)
+    words = known.where("word IS NOT NULL AND n > 0").orderBy(F.desc("n"), "word").limit(MOST_LIKELY + 1).collect()
+    discard(known)
+    least = words[ANCHORS - 1]["n"] if len(words) >= ANCHORS else 0
+    likely = [bytes(r["word"]) for r in words if r["n"] + kept_back >= least]
+    if slack and (kept_back >= least or len(likely) > MOST_LIKELY):
+        return _likely_anchors(texts, 0)
+    return likely if slack else likely[:ANCHORS]
+
+
+def fit_classes(texts: DataFrame) -> dict[bytes, int]:
+    """Class (from 1) of each anchor word of the training ``texts(text)``."""
+    likely = _likely_anchors(texts, SLACK)
+    if not likely:
         return {}
-    shared = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(anchors)})
+    size = len(likely)
+    shared = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(likely)})
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, total = shared.value, np.zeros(ANCHORS * ANCHORS, dtype=np.int64)
+        place, total, times = shared.value, np.zeros(size * size, dtype=np.int64), np.zeros(size, dtype=np.int64)
         for batch in batches:
             for part in _big_slices(batch):
                 tokens = Tokens(part.column(0))
                 found = np.array([place.get(w, -1) for w in tokens.words], dtype=np.int64)[tokens.ids]
                 text, found = tokens.text[found >= 0], found[found >= 0]
+                times += np.bincount(found, minlength=size)
                 near = text[1:] == text[:-1]
-                total += np.bincount((found[:-1] * ANCHORS + found[1:])[near], minlength=ANCHORS * ANCHORS)
+                total += np.bincount((found[:-1] * size + found[1:])[near], minlength=size * size)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], ["pair", "n"])
+        pairs, n = np.concatenate([some, -1 - np.arange(size)]), np.concatenate([total[some], times])
+        yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
 
-    pairs = texts.mapInArrow(follow, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()  # at most ANCHORS ** 2 rows
+    got = texts.mapInArrow(follow, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most MOST_LIKELY ** 2 rows
     shared.unpersist()
-    matrix = np.zeros(ANCHORS * ANCHORS)
-    for r in pairs:
-        matrix[r["pair"]] = r["n"]
-    matrix = matrix.reshape(ANCHORS, ANCHORS)[: len(anchors), : len(anchors)]
-    return {w: int(k) + 1 for w, k in zip(anchors, _clusters(matrix + matrix.T), strict=True)}
+    pair, n = got["pair"].to_numpy(), got["n"].to_numpy()
+    times, matrix = np.zeros(size, dtype=np.int64), np.zeros(size * size)
+    times[-1 - pair[pair < 0]] = n[pair < 0]
+    matrix[pair[pair >= 0]] = n[pair >= 0]
+    chosen = sorted(range(size), key=lambda i: (-times[i], likely[i]))[:ANCHORS]
+    matrix = matrix.reshape(size, size)[np.ix_(chosen, chosen)]
+    return {likely[i]: int(k) + 1 for i, k in zip(chosen, _clusters(matrix + matrix.T), strict=True)}
 
 
 def _clusters(matrix: np.ndarray) -> np.ndarray:
@@ -332,23 +358,28 @@ def _count_positions(pairs: DataFrame) -> DataFrame:
     """key, n (occurrences in training), m (distinct pairs that hold it) of ``pairs(token, n_train)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+        held: list[tuple] = []
+
+        def merge(parts: list[tuple]) -> tuple:
+            found, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            return (found, *(np.bincount(back, np.concatenate([p[i] for p in parts]), minlength=len(found)) for i in (1, 2)))
 
         def out() -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(held[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[at : at + 100_000].astype(np.int64)) for h in held], ["key", "n", "m"])
+            columns = merge(held)
+            for at in range(0, len(columns[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 100_000].astype(np.int64)) for c in columns], ["key", "n", "m"])
 
         for batch in batches:
             for part in slices(batch, "token", rows=50_000):
                 owner, keys = position_keys(part.column(0).to_pylist())
-                found, back = np.unique(np.concatenate([held[0], keys]), return_inverse=True)
-                n = np.concatenate([held[1], part.column(1).to_numpy()[owner]])
-                m = np.concatenate([held[2], np.ones(len(keys))])
-                held = (found, np.bincount(back, n, minlength=len(found)), np.bincount(back, m, minlength=len(found)))
-                if len(found) > 2 * HELD:
-                    yield from out()
-                    held = (found[:0], n[:0], m[:0])
-        yield from out()
+                held.append(merge([(keys, part.column(1).to_numpy()[owner], np.ones(len(keys)))]))
+                if sum(len(h[0]) for h in held) > 4 * HELD:
+                    held = [merge(held)]
+                    if len(held[0][0]) > 2 * HELD:
+                        yield from out()
+                        held = []
+        if held:
+            yield from out()
 
     return pairs.mapInArrow(run, "key long, n long, m long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
@@ -393,7 +424,7 @@ def _score_positions(keys: DataFrame) -> DataFrame:
 
 
 def _score_pairs(pairs: DataFrame) -> DataFrame:
-    """token, n_all, lp of ``pairs(token, n_train, n_all)``."""
+    """token, n_train, n_all, lp of ``pairs(token, n_train, n_all)``."""
     counted = materialize(_count_positions(pairs.select("token", "n_train")), "ppm-positions")
     scored = materialize(_score_positions(counted), "ppm-nodes")
     discard(counted)
@@ -417,15 +448,15 @@ def _score_pairs(pairs: DataFrame) -> DataFrame:
                     # a pair's own row has a key that no position can have
                     key = np.concatenate([keys[rest].astype(np.int64), -1 - mine])
                     which = np.concatenate([owner[rest], mine])
-                    n_all = np.concatenate([np.zeros(len(rest), np.int64), part.column(1).to_numpy()[mine]])
+                    counts = [np.concatenate([np.zeros(len(rest), np.int64), part.column(i).to_numpy()[mine]]) for i in (1, 2)]
                     lp = np.concatenate([np.zeros(len(rest)), lp[mine]])
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(which)), pa.array(key), pa.array(n_all), pa.array(lp)], ["token", "key", "n_all", "lp"])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(which)), pa.array(key), *map(pa.array, counts), pa.array(lp)], ["token", "key", "n_train", "n_all", "lp"])
 
-        return pairs.select("token", "n_all").mapInArrow(run, "token binary, key long, n_all long, lp double")
+        return pairs.select("token", "n_train", "n_all").mapInArrow(run, "token binary, key long, n_train long, n_all long, lp double")
 
     light = scored.where(~often).select("key", F.col("lp").alias("key_lp"))
     met = scored_by(False).join(light, "key", "left")
-    met = met.groupBy("token").agg(F.sum("n_all").alias("n_all"), F.sum(F.col("lp") + F.coalesce("key_lp", F.lit(0.0))).alias("lp"))
+    met = met.groupBy("token").agg(F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"), F.sum(F.col("lp") + F.coalesce("key_lp", F.lit(0.0))).alias("lp"))
     return met.unionByName(scored_by(True).drop("key"))
 
 
@@ -477,18 +508,20 @@ def score(docs: DataFrame, *, held_out: Column, doc_id: str = "doc_id", text: st
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), held_out.alias("held_out"), F.col(f"`{text}`").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     train = source.where(~F.col("held_out")).select("text")
-    words = materialize(_count_words(train), "ppm-words")
-    train_tokens, distinct = (int(x or 0) for x in words.agg(F.sum("n"), F.count(F.lit(1))).first())
-    classes = spark.sparkContext.broadcast(fit_classes(train, words))
+    classes = spark.sparkContext.broadcast(fit_classes(train))
     counted = materialize(_count_pairs(source.select("held_out", "text"), classes), "ppm-counts")
     pairs = counted.where(F.substring("key", 1, 1) != F.lit(_SEGMENT_MARK)).withColumnRenamed("key", "token")
-    all_tokens = int(pairs.agg(F.sum("n_all")).first()[0] or 0)
+    # a word's pairs, one for each state at most, come together for its count
+    of_word = Window.partitionBy("word")
+    scored = _score_pairs(pairs).withColumn("word", F.substring("token", 2, (1 << 31) - 1))
+    first = F.row_number().over(of_word.orderBy("token")) == 1
+    scored = scored.select("token", "n_train", "n_all", F.sum("n_train").over(of_word).alias("n_word"), first.alias("first"), "lp")
+    scored = materialize(scored, "ppm-scored")
+    sums = scored.agg(F.sum("n_train"), F.sum("n_all"), F.count_if(F.col("first") & (F.col("n_word") > 0))).first()
+    train_tokens, all_tokens, distinct = (int(x or 0) for x in sums)
     below = train_tokens + 0.1 * (distinct + 1)
-    scored = _score_pairs(pairs).withColumn("word", F.substring("token", 2, (1 << 31) - 1)).join(words, "word", "left")
-    scored = materialize(scored.select("token", "n_all", F.coalesce("n", F.lit(0)).alias("n_word"), "lp"), "ppm-scored")
     segments = _segment_table(counted)
     discard(counted)
-    discard(words)
     # what is looked up: x, y, z are a token's count and log10 probability, or a segment's c, t and d
     d = lambda name: F.col(name).cast("double")
     often = F.col("n_all") * TOKEN_SHARE > all_tokens
@@ -575,12 +608,14 @@ def score(docs: DataFrame, *, held_out: Column, doc_id: str = "doc_id", text: st
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
             row = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(row, row[-1])) if len(row) else 0
-            if cut or (waiting and len(row) and waiting[-1].column(0)[-1].as_py() != row[0]):
+            if not len(row):
+                continue
+            cut = int(np.searchsorted(row, row[-1]))
+            if cut or (waiting and waiting[-1].column(0)[-1].as_py() != row[0]):
                 yield whole(pa.concat_batches([*waiting, batch.slice(0, cut)]))
                 waiting = []
             waiting.append(batch.slice(cut))
-        if waiting and sum(map(len, waiting)):
+        if waiting:
             yield whole(pa.concat_batches(waiting))
 
     numbered = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")

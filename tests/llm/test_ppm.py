@@ -115,9 +115,7 @@ def test_both_scores_by_plain_python(docs):
     assert 2 < len(train) < len(rows)
     counts = Counter(w for t in train for w in split(t))
     below = counts.total() + 0.1 * (len(counts) + 1)
-    spark = docs.sparkSession
-    words = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items()], "word binary, n long")
-    model = PlainModel(train, ppm.fit_classes(docs.where(~queries.held_out(10)).select("text"), words))
+    model = PlainModel(train, ppm.fit_classes(docs.where(~queries.held_out(10)).select("text")))
     want = sorted(
         (
             -1 if i is None else i, held(i), len(split(t)), sum(counts[w] > 0 for w in split(t)), counts.total(),
@@ -146,11 +144,14 @@ def test_empty_table_and_no_training_rows(docs):
 
 
 def test_anchors_are_the_most_frequent_words_of_all_tasks(spark):
-    texts = [" ".join([f"w{i}x{k}" for k in range(2100)] * 2 + ["everywhere"] + ["long" * 20] * 9) for i in range(4)]
+    texts = [" ".join([f"w{i}x{k}" for k in range(2100)] * 2 + ["everywhere"] + [f"usual{k}" for k in range(400)] * 40 + ["usual7"] * i + ["long" * 20] * 9) for i in range(4)]
     docs = spark.createDataFrame(spark.sparkContext.parallelize([(t,) for t in texts], 5), "text string")
     counts = Counter(w for t in texts for w in t.encode().split())
     most = sorted((w for w in counts if len(w) <= 64), key=lambda w: (-counts[w], w))[:255]
-    assert most[0] == b"everywhere" and set(ppm.fit_classes(docs, ppm._count_words(docs))) == set(most)
+    assert set(ppm._likely_anchors(docs, 0)) == set(most) and len(ppm._likely_anchors(docs, 2)) == 400
+    assert set(ppm.fit_classes(docs)) == set(most)
+    few = docs.where("text LIKE 'w0x%'").selectExpr("'' || left(text, 40) AS text")
+    assert len(ppm.fit_classes(few)) == len(set(few.first().text.split()))
 
 
 def test_held_out_copies_stand_apart_and_the_model_beats_words(spark):
