@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from switchyard.llm import bagminhash, language_id, line_dedup, multi_index, packing, ppm, quality, sentencepiece_codec, topk, url_filter
 from switchyard.llm.arrowtext import fold_crc
+from switchyard.storage import materialize
 
 URL_RULES = [
     url_filter.parse_rule("block", "com/en/"),
@@ -73,8 +74,9 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth vector."""
     vectors = table(spark, sf_dir, "embeddings")
     scaled = F.transform(F.col("embedding"), lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("double"))
-    whole = vectors.where(topk.usable("embedding")).select("vec_id", scaled.alias("vector"))
-    return topk.top_k(whole, whole.where(F.col("vec_id") % 50 == 0))
+    whole = vectors.where(topk.usable("embedding")).select(F.monotonically_increasing_id().alias("line"), "vec_id", scaled.alias("vector"))
+    whole = materialize(whole, "top-k-rows")  # so that a row's number is the same on both sides
+    return topk.top_k(whole, whole.where(F.col("vec_id") % 50 == 0), row="line")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +125,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-_OP10_SQL = """
+#: A-Z alone in lower case (lower() folds all letters).
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: No component is null, NaN or infinite, and there is one.
+_FINITE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_OP10_SQL = f"""
 WITH rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES
     ('com/en/', 'com', '/en/', 'block'), ('example.com/en/7', 'example.com', '/en/7', 'allow'),
     ('net/de/', 'net', '/de/', 'block'), ('example.net/de/8', 'example.net', '/de/8', 'block'),
@@ -133,7 +140,7 @@ cut AS (
         CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest
     FROM pages),
 parts AS (
-    SELECT page_id, rn, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host,
+    SELECT page_id, rn, {_ASCII_LOWER.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
     FROM cut),
 fits AS (
@@ -145,34 +152,40 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.rule_verdict, 'allow') AS v
 FROM parts p LEFT JOIN fits f ON f.rn = p.rn AND f.place = 1
 """
 
-_OP6_SQL = """
-WITH whole AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
-    WHERE embedding IS NOT NULL AND len(embedding) > 0),
+_OP6_SQL = f"""
+WITH numbered AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id, embedding FROM embeddings),
+whole AS MATERIALIZED (
+    SELECT rn, vec_id, list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM numbered
+    WHERE {_FINITE}),
 scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+    SELECT q.rn, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.rn <> q.rn AND len(c.v) = len(q.v)),
 ranked AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY rn ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-_OP8_SQL = """
-WITH RECURSIVE links AS (
-    SELECT a.vec_id AS u, b.vec_id AS v FROM embeddings a JOIN embeddings b
-    ON a.label = b.label AND a.vec_id <> b.vec_id
-    WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.93),
+_OP8_SQL = f"""
+WITH RECURSIVE numbered AS MATERIALIZED (SELECT row_number() OVER () AS rn, vec_id, label, embedding FROM embeddings),
+whole AS MATERIALIZED (
+    SELECT rn, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM numbered
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND {_FINITE}
+    AND list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) > 0),
+links AS MATERIALIZED (
+    SELECT a.rn AS u, b.rn AS v FROM whole a JOIN whole b
+    ON a.label = b.label AND a.rn <> b.rn AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
 reached AS (
-    SELECT vec_id AS u, vec_id AS v FROM embeddings
+    SELECT rn AS u, rn AS v FROM numbered
     UNION
     SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
-least AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u),
+least AS (SELECT r.u, min(n.vec_id) AS component_id FROM reached r JOIN numbered n ON n.rn = r.v GROUP BY r.u),
 counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
-SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
-FROM embeddings e JOIN least l ON l.u = e.vec_id LEFT JOIN counts c ON c.u = e.vec_id
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id IS NOT DISTINCT FROM l.component_id AS kept
+FROM numbered e JOIN least l ON l.u = e.rn LEFT JOIN counts c ON c.u = e.rn
 """
 
-_KEY = "lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))"
+_KEY = _ASCII_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")
 
 _OP7_SQL = f"""
 WITH docs AS (SELECT doc_id, row_number() OVER () AS rn, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),

@@ -1,13 +1,11 @@
-import math
 import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from switchyard.llm import bagminhash, language_id, line_dedup, multi_index, packing, ppm, quality, queries, sentencepiece_codec, topk, url_filter  # noqa: E402
+from switchyard.llm import bagminhash, language_id, packing, quality, queries, sentencepiece_codec, url_filter  # noqa: E402
 from switchyard.llm.byte_bpe import ChunkEncoder  # noqa: E402
 
 BPE, PIECES = queries.tokenizer_file("byte_bpe_50k.json"), queries.tokenizer_file("piece_bpe_32k.model")
@@ -88,17 +86,6 @@ def test_registered_sentencepiece_query_checks_every_row(docs, spark, tmp_path):
     assert sentencepiece_codec._parity(PIECES, [""], [b"\x01\0\0\0"], 1) == [False]
 
 
-def test_line_dedup_batches_and_both_ways(spark, docs, monkeypatch):
-    many = spark.createDataFrame([(i, f" Common \nown {i}\n\n") for i in range(12)], "doc_id long, text string").unionByName(docs.select("doc_id", "text"))
-    keys = line_dedup.frequent_line_keys(many, min_docs=10, fanout=2)
-    one = sorted(map(str, line_dedup.line_report(many, keys).collect()))
-    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", 0)
-    assert sorted(map(str, line_dedup.line_report(many, keys).collect())) == one
-    kept = {r.text for r in line_dedup.drop_lines(many, keys).collect()}
-    assert "own 3\n\n" in kept and None in kept
-    assert line_dedup.line_report(empty(docs), line_dedup.frequent_line_keys(empty(docs), min_docs=2)).count() == 0
-
-
 def test_near_duplicates_and_keep_one(spark, docs):
     base = WORDS[:200]
     near = base[:199] + ["other"]
@@ -141,36 +128,6 @@ def test_ppm_base_score_by_hand(docs):
     assert sorted((r.held_out, r.n_tokens, round(r.base_score, 6)) for r in got) == want
 
 
-def test_top_k_by_brute_force(spark):
-    rng = np.random.default_rng(2)
-    x = rng.integers(-50, 50, (300, 12)).astype(float)
-    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)] + [(900, None, 1), (901, [1.0] * 11 + [float("nan")], 1), (902, [], 1)]
-    table = spark.createDataFrame(rows, "vec_id long, vector array<double>, score int")
-    got = topk.top_k(table, table.where("vec_id % 50 = 0")).collect()
-    for q in range(0, 300, 50):
-        best = sorted((-int(x[q] @ x[c]), c) for c in range(300) if c != q)[:5]
-        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == best
-    assert topk.top_k(table.where("false"), table.where("false")).count() == 0
-
-
-def test_multi_index_by_brute_force(spark):
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(120, 16))
-    x[60:] = x[:60] + rng.normal(size=(60, 16)) * 0.12
-    label = [i % 60 % 3 for i in range(120)]
-    rows = [(i, v.tolist(), k) for i, (v, k) in enumerate(zip(x, label, strict=True))] + [(900, None, 1), (901, [0.0] * 16, 1), (902, x[0].tolist(), None), (903, x[0].tolist(), 0)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = {r.vec_id: r.n_links for r in multi_index.near_duplicates(table).collect()}
-    use = [r for r in rows if r[0] < 900 or r[0] == 903]
-    u = np.array([r[1] for r in use])
-    u /= np.linalg.norm(u, axis=1, keepdims=True)
-    for i, r in enumerate(use):
-        near = [k for k, s in enumerate(use) if k != i and s[2] == r[2] and u[i] @ u[k] >= 0.93]
-        assert got[r[0]] == len(near)
-    assert got[900] == got[901] == got[902] == 0
-    assert multi_index.near_duplicates(table.where("false")).count() == 0
-
-
 def test_url_rules(spark):
     urls = [None, "no scheme", "http://Shop.EXAMPLE.com/en/78?x", "http://shop.example.com/en/8", "https://com", "x://a.net/de/8#f", "https://b.org?/es/"]
     table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
