@@ -35,10 +35,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of shared storage, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`materialize`; call only when nothing reads it any more."""
     path = getattr(df, "_stored_at", None)
     if path:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        delete(df.sparkSession, path)
