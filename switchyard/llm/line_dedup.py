@@ -1,13 +1,17 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-State: runs of (128-bit line key hash, number of documents), each sorted by
-hash and kept in shared storage. A new batch of documents is reduced to its own
-run, merge-anti-joined with the keys that earlier runs have already decided
-(found in ``min_docs`` documents), and what stays is added as a run of level 0.
-When a level holds ``fanout`` runs they are compacted into one run of the next
-level. A last compaction of all levels gives each key's documents in the whole
-corpus. Pre-aggregation in every task keeps a line that all documents share to
-one row a batch of rows.
+State: runs of (128-bit line key hash, number of documents), kept in a folder of
+shared storage from call to call. A run is cut into buckets by hash, each bucket
+sorted by it, so joins with runs are merges that neither shuffle nor sort them. A
+new batch of documents is reduced to its own keys, merge-anti-joined with the keys
+that earlier runs have already decided (found in ``min_docs`` documents), and what
+stays is added as a run of level 0. When a level holds ``fanout`` runs they are
+compacted into one run of the next level. All levels together give each key's
+documents in all that was added. Pre-aggregation in every task keeps a line that all
+documents share to one row a batch of rows.
+
+The most frequent keys, up to ``BROADCAST_KEYS``, go to every worker; rarer ones, of which
+none can be hot, meet their lines in a shuffle join.
 
 Defined cases: a null or empty text is one empty line; empty keys are never
 dropped (``min_code_points`` at least 1); a document counts once for a line it
@@ -17,19 +21,20 @@ empty result; a text whose lines all go becomes empty.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchyard.llm.arrowtext import fold_crc, need, slices
-from switchyard.storage import discard, materialize
+from switchyard.storage import delete, discard, materialize, shared_dir
 
 BLANK = b" \t\n\x0b\x0c\r"
-#: Up to so many keys (16 bytes each) go to every worker; more are joined by shuffle.
+#: So many keys (16 bytes each) go to every worker; more are joined by shuffle.
 BROADCAST_KEYS = 1 << 20
 
 
@@ -61,59 +66,114 @@ def _line_counts(docs: DataFrame, n_batches: int, min_code_points: int) -> DataF
     return numbered.mapInArrow(run, "batch int, key binary, docs long").groupBy("batch", "key").agg(F.sum("docs").alias("docs"))
 
 
-class LineRuns:
-    """Levelled sorted runs; ``min_docs`` documents decide a key."""
+class LineStore:
+    """Levelled sorted runs below ``folder``; ``min_docs`` documents decide a key.
 
-    def __init__(self, min_docs: int, fanout: int = 4):
-        self.min_docs, self.fanout = min_docs, fanout
-        self.levels: list[list[DataFrame]] = []
+    The folder may hold runs of earlier calls or sessions: ``runs`` in it lists them. ``buckets`` is fixed by the
+    first call; a bucket of a run is one sorted file.
+    """
 
-    def _sorted_run(self, counts: DataFrame) -> DataFrame:
-        return materialize(counts.select("key", "docs").sortWithinPartitions("key"), "line-run")
+    def __init__(self, spark: SparkSession, folder: str, *, min_docs: int, fanout: int = 4, buckets: int = 64):
+        self.spark, self.folder, self.min_docs, self.fanout, self.buckets = spark, folder, min_docs, fanout, buckets
+        self.levels: list[list[str]] = []
+        self._tables: set[str] = set()
+        # a bucket is one file, so what is sorted within it needs no other sort
+        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+        if self._exists(f"{folder}/runs"):
+            for r in sorted(spark.read.parquet(f"{folder}/runs").collect(), key=lambda r: (r["level"], r["place"])):
+                self._place(r["level"]).append(r["name"])
+                self.buckets = r["buckets"]
 
-    def _all(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
+    def _exists(self, path: str) -> bool:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
 
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        union = runs[0]
-        for run in runs[1:]:
-            union = union.unionByName(run)
-        return union.groupBy("key").agg(F.sum("docs").alias("docs")) if len(runs) > 1 else union
+    def _place(self, level: int) -> list[str]:
+        while level >= len(self.levels):
+            self.levels.append([])
+        return self.levels[level]
+
+    def run(self, name: str) -> DataFrame:
+        """A run as a bucketed, sorted table."""
+        if name not in self._tables:
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} (key BINARY, docs BIGINT) USING parquet "
+                f"CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'"
+            )
+            self._tables.add(name)
+        return self.spark.table(name)
+
+    def _write(self, counts: DataFrame, level: int) -> None:
+        name = f"line_run_{uuid.uuid4().hex}"
+        dealt = counts.select("key", "docs").repartition(self.buckets, "key")
+        dealt.write.format("parquet").bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.folder}/{name}").saveAsTable(name)
+        self._tables.add(name)
+        self._place(level).append(name)
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._tables.discard(name)
+        delete(self.spark, f"{self.folder}/{name}")
+
+    def _names(self) -> list[str]:
+        return [name for level in self.levels for name in level]
+
+    def _merged(self, names: list[str]) -> DataFrame:
+        # read as plain files: a union of bucketed scans claims a partitioning that it may lose when it runs
+        files = self.spark.read.schema("key binary, docs long").parquet(*[f"{self.folder}/{name}" for name in names])
+        return files.groupBy("key").agg(F.sum("docs").alias("docs"))
+
+    def undecided(self, batch: DataFrame) -> DataFrame:
+        """Rows of ``batch(key, ...)`` whose key no run has decided, by merge joins with the runs."""
+        for name in self._names():
+            decided = self.run(name).where(F.col("docs") >= self.min_docs).select("key")
+            batch = batch.join(decided.hint("merge"), "key", "left_anti")
+        return batch
 
     def add(self, batch: DataFrame) -> None:
-        """Add a batch's (key, docs), one row a key."""
-        for run in self._all():
-            batch = batch.join(run.where(F.col("docs") >= self.min_docs).select("key"), "key", "left_anti")
-        if not self.levels:
-            self.levels.append([])
-        self.levels[0].append(self._sorted_run(batch))
-        level = 0
+        """Add a batch's (key, docs), one row a key, and compact levels that are full."""
+        self._write(self.undecided(batch), 0)
+        level, old = 0, []
         while len(self.levels[level]) >= self.fanout:
-            old = self.levels[level]
-            if level + 1 == len(self.levels):
-                self.levels.append([])
-            self.levels[level + 1].append(self._sorted_run(self._merged(old)))
-            self.levels[level] = []
-            for run in old:
-                discard(run)
+            full, self.levels[level] = self.levels[level], []
+            self._write(self._merged(full), level + 1)
+            old += full
             level += 1
+        rows = [(level, place, name, self.buckets) for level, names in enumerate(self.levels) for place, name in enumerate(names)]
+        self.spark.createDataFrame(rows, "level int, place int, name string, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/runs")
+        for name in old:  # only when nothing names them any more
+            self._drop(name)
 
     def decided(self) -> DataFrame:
-        """Keys found in ``min_docs`` documents or more, over all runs."""
-        runs = self._all()
-        return self._merged(runs).where(F.col("docs") >= self.min_docs).select("key")
-
-
-def frequent_line_keys(docs: DataFrame, *, min_docs: int, doc_id: str = "doc_id", text: str = "text", min_code_points: int = 1, n_batches: int = 4, fanout: int = 4) -> DataFrame:
-    """Hashes (``key``) of lines found in at least ``min_docs`` documents, fed batch by batch through the runs."""
+        """key, docs of keys found in ``min_docs`` documents or more, over all runs."""
+        if not self._names():
+            return self.spark.createDataFrame([], "key binary, docs long")
+        return self._merged(self._names()).where(F.col("docs") >= self.min_docs)
+
+    def clear(self) -> None:
+        """Forget and delete all runs."""
+        for name in self._names():
+            self._drop(name)
+        self.levels = []
+        delete(self.spark, self.folder)
+
+
+def frequent_line_keys(docs: DataFrame, *, min_docs: int, doc_id: str = "doc_id", text: str = "text", min_code_points: int = 1, n_batches: int = 4, fanout: int = 2, store: LineStore | None = None) -> DataFrame:
+    """Hashes (``key``) of lines found in at least ``min_docs`` documents, and those documents' number so far (``docs``).
+
+    Documents are fed batch by batch through the runs of ``store``, which keeps them for later calls, or of a
+    store of its own.
+    """
+    spark = docs.sparkSession
+    kept = store or LineStore(spark, f"{shared_dir(spark)}/line-store-{uuid.uuid4().hex}", min_docs=min_docs, fanout=fanout)
     source = docs.select(fold_crc(F.col(f"`{doc_id}`")).alias("number"), F.col(f"`{text}`").alias("text"))
     counts = materialize(_line_counts(source, n_batches, min_code_points), "line-batches")
-    runs = LineRuns(min_docs, fanout)
     for number in range(n_batches):
-        runs.add(counts.where(F.col("batch") == number).select("key", "docs"))
-    out = materialize(runs.decided(), "line-keys")
-    for table in [counts, *runs._all()]:
-        discard(table)
+        kept.add(counts.where(F.col("batch") == number).select("key", "docs"))
+    discard(counts)
+    out = materialize(kept.decided(), "line-keys")
+    if store is None:
+        kept.clear()
     return out
 
 
@@ -125,10 +185,11 @@ def _keep(text: bytes, drop: Callable[[bytes], bool], min_code_points: int) -> t
 
 def _apply(table: DataFrame, keys: DataFrame, index: int, schema, finish: Callable, min_code_points: int) -> DataFrame:
     """Drop lines with these keys from column ``index``; ``finish(part, kept)`` makes the output batch."""
-    spark, bound = table.sparkSession, BROADCAST_KEYS
-    found = keys.limit(bound + 1).collect()
-    if len(found) <= bound:
-        shared = spark.sparkContext.broadcast(frozenset(bytes(r["key"]) for r in found))
+    # the most frequent keys: BROADCAST_KEYS rows at most
+    n_keys = keys.count()
+    often = keys.select("key") if n_keys <= BROADCAST_KEYS else keys.orderBy(F.desc("docs"), "key").limit(BROADCAST_KEYS).select("key")
+    shared = table.sparkSession.sparkContext.broadcast(frozenset(often.toArrow()["key"].to_pylist()))
+    if n_keys <= BROADCAST_KEYS:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             drop = shared.value.__contains__
@@ -138,7 +199,7 @@ def _apply(table: DataFrame, keys: DataFrame, index: int, schema, finish: Callab
 
         return table.mapInArrow(run, schema)
 
-    # too many keys for every worker: each document gets just the keys of its own lines
+    # too many keys for every worker: each document gets just the other keys of its own lines
     names = table.columns
     base = materialize(table.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("row", F.monotonically_increasing_id()), "line-docs")
 
@@ -147,7 +208,7 @@ def _apply(table: DataFrame, keys: DataFrame, index: int, schema, finish: Callab
             for part in slices(batch, "text"):
                 rows, found = [], []
                 for row, text in zip(part.column(0).to_pylist(), _raw_texts(part, 1), strict=True):
-                    own = {_key_hash(x, min_code_points) for x in text.split(b"\n")} - {None}
+                    own = {_key_hash(x, min_code_points) for x in text.split(b"\n")} - {None} - shared.value
                     rows += [row] * len(own)
                     found += own
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found, pa.binary())], ["row", "key"])
@@ -159,7 +220,7 @@ def _apply(table: DataFrame, keys: DataFrame, index: int, schema, finish: Callab
         for batch in batches:
             for part in slices(batch, batch.schema.names[index]):
                 own = [frozenset(d or ()) for d in part.column(len(names)).to_pylist()]
-                kept = [_keep(t, d.__contains__, min_code_points) for t, d in zip(_raw_texts(part, index), own, strict=True)]
+                kept = [_keep(t, lambda h, d=d: h in d or h in shared.value, min_code_points) for t, d in zip(_raw_texts(part, index), own, strict=True)]
                 plain = pa.RecordBatch.from_arrays([part.column(i) for i in range(len(names))], names=names)
                 yield finish(plain, kept)
 
