@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -43,8 +44,8 @@ WORDS, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 42
 SIZE = ROWS * BANDS
 PIVOTS = 16
-#: Share of equal sketch bytes below which a pair can't link; rows of a bucket that are compared as one block.
-MAY_LINK, BLOCK = 0.65, 512
+#: Share of equal sketch bytes below which a pair can't link; rows and bytes of a bucket that are compared as one block.
+MAY_LINK, BLOCK, BLOCK_BYTES = 0.65, 512, 16 << 20
 #: Points that are drawn at a time where processes are few.
 DRAWS = 1 << 14
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -205,7 +206,7 @@ def _node(text: Column) -> Column:
 
 
 def _band_table(docs: DataFrame) -> DataFrame:
-    """node, doc_id, bands, sketch (both null without words) of every row of ``docs(doc_id, text)`` with a text.
+    """node, doc_id, bands, sketch (both null without words), size in bytes of every row of ``docs(doc_id, text)`` with a text.
 
     The sketch is the signature's lowest bytes.
     """
@@ -223,9 +224,9 @@ def _band_table(docs: DataFrame) -> DataFrame:
                     names = signatures([bags[i] for i in group])
                     for i, keys, low in zip(group, band_keys(names), names.astype(np.uint8), strict=True):
                         bands[i], sketches[i] = keys.tobytes(), low.tobytes()
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.binary()), pa.array(sketches, pa.binary())], ["node", "doc_id", "bands", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.binary()), pa.array(sketches, pa.binary()), pa.compute.binary_length(part.column(2)).cast(pa.int64())], ["node", "doc_id", "bands", "sketch", "size"])
 
-    return docs.where("text IS NOT NULL").select(_node(F.col("text")).alias("node"), "doc_id", "text").mapInArrow(run, f"node binary, doc_id {kind}, bands binary, sketch binary")
+    return docs.where("text IS NOT NULL").select(_node(F.col("text")).alias("node"), "doc_id", "text").mapInArrow(run, f"node binary, doc_id {kind}, bands binary, sketch binary, size long")
 
 
 def _bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -271,36 +272,48 @@ def _mixed_buckets(led: DataFrame, found: DataFrame, linked: DataFrame) -> DataF
     return materialize(known.join(mixed, "bucket"), "near-mixed")
 
 
-def _last_links(known: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def _last_links(known: DataFrame, nodes: DataFrame, texts: DataFrame, may_link: float) -> DataFrame:
     """u, v: links between components within a bucket, a spanning set of them.
 
-    Large buckets are compared in pairs of blocks. A pair is measured only in the first bucket that it
-    shares, if its components are still apart there and at least MAY_LINK of the sketches' bytes agree: at
-    similarity 0.8 that share is 0.8 with a deviation of 0.025, so no pair that links is lost (six
-    deviations).
+    In a bucket, rows outside its largest component (side 0) meet all rows (side 1), in blocks of bounded rows and
+    bytes; rows of the largest component never meet each other. A pair is measured only in the first bucket that it
+    shares, if its components are still apart there and at least ``may_link`` of the sketches' bytes agree: at
+    similarity 0.8 that share is 0.8 with a deviation of 0.025, so no pair that links is lost (six deviations).
     """
-    sizes = known.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    rows = known.where(~F.col("leads")).join(sizes, "bucket").join(nodes.select("node", "bands", "sketch"), "node").join(texts, "node")
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "component", "bands", "sketch", "text")
-    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-
-    def compare(key: tuple, block: list[tuple], memo: WordHasher) -> Iterator[tuple[bytes, bytes]]:
-        parts, names, components_, bands, sketches, texts_ = zip(*block, strict=True)
+    sized = known.where(~F.col("leads")).join(nodes.select("node", "bands", "sketch", "size"), "node")
+    of_component = sized.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    largest = F.max(F.struct("n", "component", "bytes"))
+    parts = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+    groups = of_component.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), largest.alias("top"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    groups = groups.select("bucket", F.col("top.component").alias("largest"), parts(F.col("n") - F.col("top.n"), F.col("bytes") - F.col("top.bytes")).alias("few"), parts(F.col("n"), F.col("bytes")).alias("many"))
+    rows = sized.join(groups, "bucket").join(texts, "node")
+    of = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    carried = ["node", "component", (F.col("component") == F.col("largest")).alias("top"), "bands", "sketch", "text"]
+    outside = rows.where("component <> largest").select("bucket", of("few").alias("i"), every("many").alias("j"), F.lit(0).alias("side"), *carried)
+    rows = outside.unionByName(rows.select("bucket", every("few").alias("i"), of("many").alias("j"), F.lit(1).alias("side"), *carried))
+    rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "node")
+
+    def compare(bucket: int, block: list[tuple], memo: WordHasher) -> Iterator[tuple[bytes, bytes]]:
+        side, names, components_, top, bands, sketches, texts_ = zip(*block, strict=True)
+        n = side.count(0)
+        if not n or n == len(block):
+            return
         sketch = np.frombuffer(b"".join(sketches), dtype=np.uint8).reshape(len(block), SIZE)
         band = np.frombuffer(b"".join(bands), dtype=np.int64).reshape(len(block), BANDS)
-        earlier = int(np.flatnonzero(band[0] == key[0])[0])
-        part = np.array(parts)
+        earlier = int(np.flatnonzero(band[0] == bucket)[0])
+        order = np.unique(np.array(names, dtype=object), return_inverse=True)[1]
+        kinds = np.unique(np.array(components_, dtype=object), return_inverse=True)[1]
+        in_top = np.array(top)
         likely = []
-        for at in range(0, len(block), 64):
-            same = (sketch[at : at + 64, None] == sketch[None, at:]).mean(axis=2)
-            ok = (same >= MAY_LINK) & (np.arange(at, at + len(same))[:, None] < np.arange(at, len(block))[None])
-            if key[1] != key[2]:
-                ok &= part[at : at + 64, None] != part[None, at:]  # pairs of one part meet in its own block
+        for at in range(0, n, 64):
+            mine = slice(at, min(n, at + 64))
+            same = (sketch[mine, None] == sketch[None, n:]).mean(axis=2)
+            # two rows outside the largest component meet twice
+            ok = (same >= may_link) & (kinds[mine, None] != kinds[None, n:]) & (in_top[None, n:] | (order[mine, None] < order[None, n:]))
             x, y = np.nonzero(ok)
-            once = ~(band[at + x, :earlier] == band[at + y, :earlier]).any(axis=1)
-            likely += zip((-same[x, y][once]).tolist(), (at + x[once]).tolist(), (at + y[once]).tolist(), strict=True)
+            once = ~(band[at + x, :earlier] == band[n + y, :earlier]).any(axis=1)
+            likely += zip((-same[x, y][once]).tolist(), (at + x[once]).tolist(), (n + y[once]).tolist(), strict=True)
         if not likely:
             return
         root: dict = {}
@@ -325,26 +338,27 @@ def _last_links(known: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block, out, memo = None, [], [], new_memo()
         for batch in batches:
-            for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (bucket, i, j) != key:
-                    if len(block) > 1:
-                        out += compare(key, block, memo)
-                    key, block = (bucket, i, j), []
-                block.append(tuple(row))
+            for part in slices(batch):
+                for bucket, i, j, *row in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    if (bucket, i, j) != key:
+                        if len(block) > 1:
+                            out += compare(key[0], block, memo)
+                        key, block = (bucket, i, j), []
+                    block.append(tuple(row))
         if len(block) > 1:
-            out += compare(key, block, memo)
+            out += compare(key[0], block, memo)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["u", "v"])
 
     return rows.mapInArrow(run, "u binary, v binary")
 
 
-def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", may_link: float = MAY_LINK) -> tuple[DataFrame, DataFrame]:
     """(nodes, members): nodes(node, doc_id, rows) and members(node, class_node) of classes of several nodes."""
     source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = _band_table(source).groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("held"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    nodes = materialize(nodes.select("node", "held.doc_id", "held.rows", "bands", "sketch"), "near-nodes")
+    rows = _band_table(source).groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("rows"), *(F.first(c).alias(c) for c in ("bands", "sketch", "size")))
+    nodes = rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rows")).alias("held"), *(F.first(c).alias(c) for c in ("bands", "sketch", "size")))
+    nodes = materialize(nodes.select("node", "held.doc_id", "held.rows", "bands", "sketch", "size"), "near-nodes")
     in_buckets = materialize(_bucket_rows(nodes), "near-buckets")
     buckets = in_buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     led = materialize(in_buckets.join(buckets, "bucket"), "near-led")
@@ -374,7 +388,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> t
         members = materialize(components(links_all), "near-classes")
         discard(known)
         known = _mixed_buckets(led, found, members)
-    last = materialize(_last_links(known, nodes, texts), "near-links")
+    last = materialize(_last_links(known, nodes, texts, may_link), "near-links")
     if last.take(1):
         members = materialize(components(links_all.unionByName(last)), "near-classes")
     for table in (led, texts, known):
@@ -389,9 +403,9 @@ def _held_by_class(nodes: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(best, "class_node").select("node", F.col("best.doc_id").alias("class_id"), F.col("best.node").alias("best_node"), F.col("best.rows").alias("best_rows"))
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", may_link: float = MAY_LINK) -> DataFrame:
     """doc_id, class_id (smallest id of the document's class), kept (whether it is that document)."""
-    nodes, members = classes(docs, doc_id=doc_id, text=text)
+    nodes, members = classes(docs, doc_id=doc_id, text=text, may_link=may_link)
     best = _held_by_class(nodes, members)
     by_node = nodes.join(best, "node", "left").select("node", F.coalesce("class_id", "doc_id").alias("class_id"))
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), _node(F.col(f"`{text}`")).alias("node"))
@@ -404,11 +418,11 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     nodes, members = classes(docs, doc_id=doc_id, text=text)
     best = _held_by_class(nodes, members)
     chosen = nodes.join(best, "node", "left").where(F.col("best_node").isNull() | (F.col("best_node") == F.col("node")))
-    chosen = materialize(chosen.select(F.col("node").alias("chosen_node"), F.col("doc_id").alias("chosen_id"), "rows"), "near-chosen")
-    same = _node(docs[text]).eqNullSafe(F.col("chosen_node")) & docs[doc_id].eqNullSafe(F.col("chosen_id"))
-    none = docs.where(docs[text].isNull())
-    single = docs.where(docs[text].isNotNull()).join(chosen.where("rows = 1"), same, "left_semi")
-    kept = single.unionByName(none)
-    if chosen.where("rows > 1").take(1):
-        kept = kept.unionByName(docs.join(chosen.where("rows > 1"), same, "left_semi").dropDuplicates([doc_id, text]))
+    chosen = materialize(chosen.select("node", F.col("doc_id").alias("id"), "rows"), "near-chosen")
+    # a column of that name may be there already, so both are named by their tables
+    single, several = chosen.where("rows = 1"), chosen.where("rows > 1")
+    same = lambda c: _node(docs[f"`{text}`"]).eqNullSafe(c["node"]) & docs[f"`{doc_id}`"].eqNullSafe(c["id"])
+    kept = docs.join(single, same(single), "left_semi").unionByName(docs.where(docs[f"`{text}`"].isNull()))
+    if several.take(1):
+        kept = kept.unionByName(docs.join(several, same(several), "left_semi").dropDuplicates([doc_id, text]))
     return kept
