@@ -234,7 +234,7 @@ def codec(path: str) -> PieceCodec:
     return _OPEN[path]
 
 
-def encode(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: str = "text", parity_every: int = 64) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: str = "text", parity_every: int = 1) -> DataFrame:
     """Ids and the decoded text of every document.
 
     Columns: doc_id, ids array<int>, decoded string, parity boolean. parity compares a
@@ -256,7 +256,7 @@ def encode(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: st
     return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string, parity boolean")
 
 
-def digest(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: str = "text", parity_every: int = 64) -> DataFrame:
+def digest(docs: DataFrame, model_path: str, *, doc_id: str = "doc_id", text: str = "text", parity_every: int = 1) -> DataFrame:
     """As :func:`encode`, with digests: doc_id, n_ids, ids_crc32, decoded_sha256, round_trip, parity."""
     source = need(docs, doc_id=doc_id, text=text)
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -295,7 +295,7 @@ def _parity(model_path: str, texts: list, ids: list[bytes], every: int) -> list[
     out: list[bool | None] = []
     for t, i in zip(texts, ids, strict=True):
         if every == 1 or zlib.crc32((t or "").encode()) % every == 0:
-            out.append(np.asarray(_CHECKERS[model_path].encode(t or ""), dtype="<u4").tobytes() == i)
+            out.append(np.asarray(_CHECKERS[model_path].encode_as_numpy(t or ""), dtype="<u4").tobytes() == i)
         else:
             out.append(None)
     return out
