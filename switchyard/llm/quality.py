@@ -14,8 +14,8 @@ hash of the row (a documented bound); scoring covers every whole text.
 
 Defined cases: null and empty texts are scored as documents without words; rows
 without a label teach nothing; with no labelled row, or one class only, every
-score is the share of label 1 (1/2 without rows); repeated rows are scored each
-for itself; an empty table gives an empty result; other columns are ignored.
+score is the smoothed share of label 1, (ones + 1/2) / (rows + 1); of rows of one id the least
+text teaches, so a repeated id is one row of the sample; repeated rows are scored each for itself; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -165,7 +165,8 @@ def fit(train: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: st
     share = min(1_000_000, -(-sample_rows * 1_000_000 // max(1, marked.count())))
     chosen = F.broadcast(marked.where(pick < share))  # about sample_rows rows of (id, label)
     texts = train.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    sample = materialize(texts.join(chosen, "doc_id").withColumn("calibrates", F.pmod(F.xxhash64(F.lit("temperature"), "doc_id"), F.lit(5)) == 0), "quality-sample")
+    texts = texts.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    sample = materialize(texts.select("doc_id", "text", "label").withColumn("calibrates", F.pmod(F.xxhash64(F.lit("temperature"), "doc_id"), F.lit(5)) == 0), "quality-sample")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, memo = index_vectors(), TokenRows(token_buckets, 2, np.int32)
