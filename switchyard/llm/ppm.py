@@ -71,15 +71,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _split(texts: pa.Array) -> pa.ListArray:
+    """Lower-cased (A-Z) texts, split at exactly [\\x20\\x09-\\x0D]; white space at an end leaves an empty string there."""
+    return pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+
+
 class Tokens:
     """The tokens of some texts: ``words`` (distinct ones, the end token last), and by token its word and its text."""
 
     def __init__(self, texts: pa.Array):
-        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+        split = _split(texts)
         coded = split.flatten().dictionary_encode()
         self.words: list[bytes] = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
         ids, sizes = coded.indices.to_numpy(), pc.list_value_length(split).to_numpy()
-        # white space at an end of a text leaves an empty string there
         some = ids != (self.words.index(b"") if b"" in self.words else -1)
         gone = np.zeros(len(some) + 1, dtype=np.int64)
         np.cumsum(~some, out=gone[1:])
@@ -187,15 +191,15 @@ def fit_classes(texts: DataFrame) -> dict[bytes, int]:
     if not likely:
         return {}
     size = len(likely)
-    shared = texts.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(likely)})
+    shared = texts.sparkSession.sparkContext.broadcast([w.decode() for w in likely])
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, total, times = shared.value, np.zeros(size * size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        wanted, total, times = pa.array(shared.value, pa.string()), np.zeros(size * size, dtype=np.int64), np.zeros(size, dtype=np.int64)
         for batch in batches:
             for part in _big_slices(batch):
-                tokens = Tokens(part.column(0))
-                found = np.array([place.get(w, -1) for w in tokens.words], dtype=np.int64)[tokens.ids]
-                text, found = tokens.text[found >= 0], found[found >= 0]
+                split = _split(part.column(0))
+                found = pc.fill_null(pc.index_in(split.flatten(), value_set=wanted), -1).to_numpy().astype(np.int64)
+                text, found = pc.list_parent_indices(split).to_numpy()[found >= 0], found[found >= 0]
                 times += np.bincount(found, minlength=size)
                 near = text[1:] == text[:-1]
                 total += np.bincount((found[:-1] * size + found[1:])[near], minlength=size * size)
