@@ -69,12 +69,13 @@ def _line_counts(docs: DataFrame, n_batches: int, min_code_points: int) -> DataF
 class LineStore:
     """Levelled sorted runs below ``folder``; ``min_docs`` documents decide a key.
 
-    The folder may hold runs of earlier calls or sessions: ``runs`` in it lists them. ``buckets`` is fixed by the
-    first call; a bucket of a run is one sorted file.
+    The folder may hold runs of earlier calls or sessions: ``runs`` in it lists them. ``buckets`` (by default the
+    session's shuffle partitions) is fixed by the first call; a bucket of a run is one sorted file.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, *, min_docs: int, fanout: int = 4, buckets: int = 64):
-        self.spark, self.folder, self.min_docs, self.fanout, self.buckets = spark, folder, min_docs, fanout, buckets
+    def __init__(self, spark: SparkSession, folder: str, *, min_docs: int, fanout: int = 4, buckets: int | None = None):
+        self.spark, self.folder, self.min_docs, self.fanout = spark, folder, min_docs, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
         self._tables: set[str] = set()
         # a bucket is one file, so what is sorted within it needs no other sort
@@ -158,7 +159,7 @@ class LineStore:
         delete(self.spark, self.folder)
 
 
-def frequent_line_keys(docs: DataFrame, *, min_docs: int, doc_id: str = "doc_id", text: str = "text", min_code_points: int = 1, n_batches: int = 4, fanout: int = 2, store: LineStore | None = None) -> DataFrame:
+def frequent_line_keys(docs: DataFrame, *, min_docs: int, doc_id: str = "doc_id", text: str = "text", min_code_points: int = 1, n_batches: int = 4, fanout: int = 4, store: LineStore | None = None) -> DataFrame:
     """Hashes (``key``) of lines found in at least ``min_docs`` documents, and those documents' number so far (``docs``).
 
     Documents are fed batch by batch through the runs of ``store``, which keeps them for later calls, or of a
