@@ -14,7 +14,8 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     half_lat = F.sin(F.radians(lat2 - lat1) / 2)
     half_lon = F.sin(F.radians(lon2 - lon1) / 2)
     h = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # not least(1, ...), which a null doesn't reach
+    return 2 * EARTH_M * F.asin(F.when(h > 1, 1.0).otherwise(F.sqrt(h)))
 
 
 def grid_cell(degrees: Column, size: float) -> Column:

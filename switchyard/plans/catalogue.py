@@ -14,6 +14,7 @@ from switchyard.operators.components import components
 from switchyard.plans import roles
 from switchyard.plans.registry import QUERIES, SQL
 from switchyard.plans.registry import query as _query
+from switchyard.storage import discard, materialize
 from switchyard.plans.roles import KEYS, ORDER, SQL_DEPARTURES, SQL_ORDER, SQL_STOPS, SQL_TIMES, sql_haversine
 
 def _metres(column: str = "hop_m"):
@@ -177,7 +178,7 @@ def q_template_trip(spark, d):
     pref = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
     best = roles.table(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.struct(pref.alias("p"), "o_orderkey")).alias("b"))
     chosen = best.select(F.col("o_custkey").alias("route_id"), F.col("b.o_orderkey").alias("trip_id"))
-    lines = roles.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("trip_id"))
+    lines = roles.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("trip_id")).join(chosen.select("trip_id"), "trip_id", "left_semi")
     return chosen.join(lines.groupBy("trip_id").agg(F.count(F.lit(1)).alias("n_stops")), "trip_id").select("route_id", "trip_id", "n_stops")
 
 
@@ -195,7 +196,8 @@ SELECT i.idx AS stop_idx, count(*) AS n FROM lineitem l JOIN i ON i.l_suppkey =
 def q_dense_index(spark, d):
     """Dense numbers of used stops, without one task sorting all: counts before each range partition give the offsets."""
     counts = roles.table(spark, d, "lineitem").where(F.col("l_suppkey") % 3 != 0).groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    ranged = counts.repartitionByRange("l_suppkey").withColumn("part", F.spark_partition_id())
+    # written once, so that both uses see the same partitions
+    ranged = materialize(counts.repartitionByRange("l_suppkey").withColumn("part", F.spark_partition_id()), "dense-index")
     ranged = ranged.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("l_suppkey")))
     sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -272,7 +274,7 @@ def q_token_normalise(spark, d):
 _TIER_KEYS = "lower({x}) AS k1, right(lower({x}), 9) AS k2, right(lower({x}), 2) AS k3"
 
 
-@_query(f"""WITH l AS (SELECT s_suppkey, {_TIER_KEYS.format(x='s_name')} FROM supplier), r AS (SELECT c_custkey, {_TIER_KEYS.format(x='c_name')} FROM customer WHERE c_custkey % 7 = 0),
+@_query(f"""WITH l AS (SELECT s_suppkey, {_TIER_KEYS.format(x='s_name')} FROM supplier), r AS (SELECT c_custkey, {_TIER_KEYS.format(x='c_name')} FROM customer),
 f AS (SELECT s_suppkey, c_custkey, 1 AS tier FROM l JOIN r USING (k1) UNION ALL SELECT s_suppkey, c_custkey, 2 FROM l JOIN r USING (k2) UNION ALL SELECT s_suppkey, c_custkey, 3 FROM l JOIN r USING (k3)),
 b AS (SELECT *, dense_rank() OVER (PARTITION BY s_suppkey ORDER BY tier) AS i FROM f) SELECT s_suppkey, c_custkey, tier FROM b WHERE i = 1""")
 def q_name_tier_join(spark, d):
@@ -293,7 +295,7 @@ def q_alias_expand(spark, d):
     return roles.table(spark, d, "part").select("p_partkey", F.explode(all_names).alias("alias"))
 
 
-@_query("""WITH l AS (SELECT o_orderkey AS id_left, o_custkey % 400 AS k FROM orders WHERE o_orderkey % 40 = 0), r AS (SELECT c_custkey AS id_right, c_custkey AS k FROM customer WHERE c_custkey < 500),
+@_query("""WITH l AS (SELECT o_orderkey AS id_left, o_custkey * 10 + o_orderkey % 10 AS k FROM orders), r AS (SELECT c_custkey AS id_right, c_custkey * 10 + c_custkey % 10 AS k FROM customer),
 c AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY k) = 1 THEN k END AS m FROM l) SELECT coalesce(c.k, r.k) AS k, id_left, id_right FROM c FULL JOIN r ON c.m = r.k""")
 def q_merge_unique_key(spark, d):
     """Two lists merged where the left key is unique."""
@@ -307,7 +309,7 @@ _MASKS = "CASE {k} % 4 WHEN 0 THEN '1111100' WHEN 1 THEN '0000011' WHEN 2 THEN '
 
 
 @_query(f"""WITH dirs AS (SELECT s_suppkey AS route_id, x.d AS direction FROM supplier, (VALUES ('0'), ('1')) x(d)),
-p AS (SELECT c_custkey AS period_id, c_custkey % 120 AS route_id, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '0' ELSE '1' END AS direction, {_MASKS.format(k='c_custkey')} AS mask FROM customer WHERE c_custkey % 5 < 2),
+p AS (SELECT c_custkey AS period_id, c_custkey % 120 AS route_id, CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN '0' ELSE '1' END AS direction, {_MASKS.format(k='c_custkey')} AS mask FROM customer),
 v AS (SELECT * FROM p WHERE mask <> '0000000'), has AS (SELECT DISTINCT route_id FROM v)
 SELECT r.route_id, r.direction, v.period_id, coalesce(v.mask, '1111111') AS mask FROM dirs r LEFT JOIN v ON v.route_id = r.route_id AND (v.direction = '' OR v.direction = r.direction)
 WHERE v.period_id IS NOT NULL OR r.route_id NOT IN (SELECT route_id FROM has)""")
@@ -330,7 +332,7 @@ _DIST = sql_haversine("a.lat", "a.lon", "b.lat", "b.lon")
 def _stop_pairs(spark, d, metres: float) -> DataFrame:
     a = roles.stops(spark, d)
     b = a.select(*[F.col(c).alias(f"{c}2") for c in ("stop_id", "s_name", "s_nationkey", "lat", "lon")])
-    return spatial.radius_join(a, b, metres)
+    return spatial.radius_join(a, b, metres, max_lat=30.0)
 
 
 @_query(f"""WITH {SQL_STOPS} SELECT a.stop_id AS a, b.stop_id AS b, CAST(floor({_DIST}) AS BIGINT) AS m FROM stops a JOIN stops b ON a.stop_id < b.stop_id AND {_DIST} <= 5000""")
@@ -470,14 +472,18 @@ def q_classify(spark, d):
 
 @_query(f"""WITH p AS (SELECT s_suppkey, s_nationkey, {_MASKS.format(k='s_suppkey')} AS mask FROM supplier),
 b AS (SELECT *, list_sum([CAST(substr(mask, i, 1) AS INTEGER) * (1 << (7 - i)) FOR i IN range(1, 8)]) AS bits FROM p)
-SELECT x.s_suppkey AS a, y.s_suppkey AS b, substr(x.mask, 1, 1) AS monday FROM b x JOIN b y ON x.s_nationkey = y.s_nationkey AND x.s_suppkey < y.s_suppkey AND (CAST(x.bits AS INTEGER) & CAST(y.bits AS INTEGER)) <> 0""")
+g AS (SELECT s_nationkey, mask, CAST(bits AS INTEGER) AS bits, count(*) AS n FROM b GROUP BY ALL)
+SELECT x.s_nationkey AS route_id, x.mask AS mask, y.mask AS other, substr(x.mask, 1, 1) AS monday, CASE WHEN x.mask = y.mask THEN x.n * (x.n - 1) // 2 ELSE x.n * y.n END AS pairs
+FROM g x JOIN g y ON x.s_nationkey = y.s_nationkey AND x.mask <= y.mask AND (x.bits & y.bits) <> 0 WHERE x.mask <> y.mask OR x.n > 1""")
 def q_mask_calendar(spark, d):
-    """Periods of one route whose days overlap."""
+    """How many pairs of a route's periods overlap, by their days."""
     k = F.col("s_suppkey")
     mask = F.when(k % 4 == 0, "1111100").when(k % 4 == 1, "0000011").when(k % 4 == 2, "0000000").otherwise("1010101")
     p = roles.table(spark, d, "supplier").select(k.alias("a"), "s_nationkey", mask.alias("mask"))
-    q = p.select(F.col("a").alias("b"), "s_nationkey", F.col("mask").alias("mask2"))
-    return p.join(q, "s_nationkey").where((F.col("a") < F.col("b")) & clock.masks_overlap(F.col("mask"), F.col("mask2"))).select("a", "b", F.substring("mask", 1, 1).alias("monday"))
+    g = p.groupBy(F.col("s_nationkey").alias("route_id"), "mask").agg(F.count(F.lit(1)).alias("n"))  # 127 masks a route at most
+    met = g.join(g.select("route_id", F.col("mask").alias("other"), F.col("n").alias("m")), "route_id").where((F.col("mask") <= F.col("other")) & clock.masks_overlap(F.col("mask"), F.col("other")))
+    pairs = F.when(F.col("mask") == F.col("other"), F.expr("n * (n - 1) div 2")).otherwise(F.col("n") * F.col("m"))
+    return met.select("route_id", "mask", "other", F.substring("mask", 1, 1).alias("monday"), pairs.alias("pairs")).where("pairs > 0")
 
 
 @_query("""WITH s AS (SELECT o_orderkey, o_orderkey * 61 % 120000 AS s FROM orders), t AS (SELECT o_orderkey, s, lpad(CAST(s // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST(s // 60 % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') AS c FROM s)
@@ -491,7 +497,7 @@ def q_clock_format(spark, d):
 _REACH = sql_haversine(roles.LAT.format(k="c_custkey * 3"), roles.LON.format(k="c_custkey * 3"), "s.lat", "s.lon")
 
 
-@_query(f"""WITH {SQL_STOPS}, p AS (SELECT c_custkey, {_REACH} AS m FROM customer, stops s WHERE c_custkey % 3 = 0),
+@_query(f"""WITH {SQL_STOPS}, p AS (SELECT c_custkey, {_REACH} AS m FROM customer, stops s),
 g AS (SELECT c_custkey, count(*) FILTER (WHERE m <= 1500) AS near, count(*) FILTER (WHERE m <= 3000) AS wide, min(m) AS least FROM p GROUP BY c_custkey)
 SELECT c_custkey AS place_id, CASE WHEN near > 0 THEN 1500 WHEN wide > 0 THEN 3000 WHEN least <= 15000 THEN 15000 ELSE 0 END AS radius, CASE WHEN near > 0 THEN near WHEN wide > 0 THEN wide WHEN least <= 15000 THEN 1 ELSE 0 END AS n FROM g""")
 def q_reach_fallback(spark, d):
@@ -499,10 +505,13 @@ def q_reach_fallback(spark, d):
     k = F.col("c_custkey")
     places = roles.table(spark, d, "customer").select(k.alias("place_id"), roles.lat_of(k * 3).alias("lat"), roles.lon_of(k * 3).alias("lon"))
     s = roles.stops(spark, d).select("stop_id", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    near = spatial.radius_join(places, s, 15_000).groupBy("place_id").agg(F.count_if(F.col("distance_m") <= 1500).alias("a"), F.count_if(F.col("distance_m") <= 3000).alias("b"))
-    all_places = places.select("place_id").join(near, "place_id", "left")
-    radius = F.when(F.col("a") > 0, 1500).when(F.col("b") > 0, 3000).when(F.col("a").isNotNull(), 15000).otherwise(0)
-    return all_places.select("place_id", radius.alias("radius"), F.when(F.col("a") > 0, F.col("a")).when(F.col("b") > 0, F.col("b")).when(F.col("a").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("n"))
+    # each radius only for the places that the one before left without a stop
+    left, found = places, []
+    for metres in (1500, 3000, 15_000):
+        near = spatial.radius_join(left, s, metres, max_lat=30.0).groupBy("place_id").agg(F.count(F.lit(1)).alias("n"))
+        found.append(near.select("place_id", F.lit(metres).alias("radius"), F.when(F.lit(metres == 15_000), F.lit(1)).otherwise(F.col("n")).cast("long").alias("n")))
+        left = left.join(near, "place_id", "left_anti")
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(left.select("place_id", F.lit(0).alias("radius"), F.lit(0).cast("long").alias("n")))
 
 
 def _patterns(spark, d) -> DataFrame:
@@ -516,16 +525,21 @@ a{n} AS (SELECT stop, min(cost) AS cost FROM (SELECT * FROM l{p} UNION ALL SELEC
 l{n} AS (SELECT stop, min(cost) AS cost FROM (SELECT * FROM a{n} UNION ALL SELECT f.b, a.cost + 2 * f.minutes FROM a{n} a JOIN foot f ON f.a = a.stop) GROUP BY stop)"""
 
 
-@_query(f"""WITH {SQL_STOPS}, pat AS (SELECT l_orderkey AS pattern, row_number() OVER ({SQL_ORDER}) AS pos, l_suppkey AS stop, sum(CAST(l_quantity AS BIGINT)) OVER ({SQL_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS minutes FROM lineitem WHERE l_orderkey % 20 = 0),
+@_query(f"""WITH {SQL_STOPS}, pat AS (SELECT l_orderkey AS pattern, row_number() OVER ({SQL_ORDER}) AS pos, l_suppkey AS stop, sum(CAST(l_quantity AS BIGINT)) OVER ({SQL_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS minutes FROM lineitem),
 foot AS (SELECT a.stop_id AS a, b.stop_id AS b, CAST(ceil({_DIST} / 75) AS BIGINT) AS minutes FROM stops a JOIN stops b ON a.stop_id <> b.stop_id AND {_DIST} <= 3000),
 l0 AS (SELECT CAST(1 AS BIGINT) AS stop, CAST(0 AS BIGINT) AS cost)""" + _RIDES.format(n=1, p=0) + _RIDES.format(n=2, p=1) + " SELECT stop, CAST(cost AS BIGINT) AS cost FROM l2")
 def q_raptor_k2(spark, d):
     """Least cost to each stop from one, with at most two rides and walks after each."""
     pat = _patterns(spark, d)
     foot = _stop_pairs(spark, d, 3000).where("stop_id <> stop_id2").select(F.col("stop_id").alias("a"), F.col("stop_id2").alias("b"), F.ceil(F.col("distance_m") / 75).cast("long").alias("minutes"))
+    pat, foot = materialize(pat, "ride-patterns"), materialize(foot, "ride-foot")
     labels = spark.createDataFrame([(1, 0)], "stop long, cost long")
     for _ in range(2):
-        labels = paths.walk_round(paths.ride_round(labels, pat, 8), foot)
+        rode = materialize(paths.ride_round(labels, pat, 8), "ride-labels")
+        labels = materialize(paths.walk_round(rode, foot), "ride-labels")
+        discard(rode)
+    discard(pat)
+    discard(foot)
     return labels
 
 
@@ -544,7 +558,10 @@ r AS (SELECT CAST(1 AS BIGINT) AS node, CAST(0 AS BIGINT) AS cost UNION SELECT e
 def q_shortest_path(spark, d):
     """Least walking cost from one stop, up to a limit."""
     edges = _stop_pairs(spark, d, 6000).where("stop_id <> stop_id2").select(F.col("stop_id").alias("src"), F.col("stop_id2").alias("dst"), F.ceil(F.col("distance_m") / 100).cast("long").alias("w"))
-    return paths.shortest_costs(spark.createDataFrame([(1,)], "node long"), edges, 220)
+    edges = materialize(edges.repartition("src"), "walk-edges")
+    out = paths.shortest_costs(spark.createDataFrame([(1,)], "node long"), edges, 220)
+    discard(edges)
+    return out
 
 
 @_query(r"""WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '<li>')) AS items, len(regexp_extract_all(html, '<a href="/[^"]*"')) AS links, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) AS txt FROM pages)
@@ -564,7 +581,7 @@ def q_section_carry(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from switchyard.plans import places  # noqa: F401  (registers its queries)
+    from switchyard.plans import feeds, lookups, places, rides  # noqa: F401  (they register their queries)
 
     return dict(QUERIES)
 

@@ -47,7 +47,7 @@ LON = "(CAST(88.0 AS DOUBLE) + (({k}) * 104729 % 7000) / CAST(10000 AS DOUBLE))"
 
 def sql_haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     h = f"(power(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) * power(sin(radians({lon2} - {lon1}) / 2), 2))"
-    return f"(2 * 6371000.0 * asin(least(CAST(1 AS DOUBLE), sqrt({h}))))"
+    return f"(2 * 6371000.0 * asin(CASE WHEN {h} > 1 THEN CAST(1 AS DOUBLE) ELSE sqrt({h}) END))"
 
 
 SQL_STOPS = f"stops AS (SELECT s_suppkey AS stop_id, s_name, s_nationkey, {LAT.format(k='s_suppkey')} AS lat, {LON.format(k='s_suppkey')} AS lon FROM supplier)"
