@@ -60,7 +60,7 @@ ANCHORS, ANCHOR_BYTES, CLASSES = 255, 64, 8
 #: Words that a task saw so often are kept back at first, if that leaves at most so many words that may be anchors.
 SLACK, MOST_LIKELY = 16, 1000
 #: Positions that a task turns into a trie at a time, and tokens that it counts before it hands them on.
-TRIE_KEYS, HELD = 500_000, 1_000_000
+TRIE_KEYS, HELD = 500_000, 600_000
 _STATES = [bytes([k]) for k in (0, *range(1, 9), *range(14, 32))]
 _SEGMENT_MARK = b"\xff"
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -239,11 +239,11 @@ def _count_pairs(docs: DataFrame, classes) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, list[int]] = {}
+        counts: dict[bytes, int] = {}  # training occurrences above 32 bits, all below
 
         def out() -> pa.RecordBatch:
-            train, all_ = ([v[k] for v in counts.values()] for k in range(2))
-            made = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(train, pa.int64()), pa.array(all_, pa.int64())], ["key", "n_train", "n_all"])
+            both = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+            made = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(both >> 32), pa.array(both & 0xFFFFFFFF)], ["key", "n_train", "n_all"])
             counts.clear()
             return made
 
@@ -253,13 +253,8 @@ def _count_pairs(docs: DataFrame, classes) -> DataFrame:
                 train = ~np.array(part.column(0).to_pylist(), dtype=bool)
                 keys, place = tokens.pairs(classes.value)
                 learned = np.bincount(place, train[tokens.text], minlength=len(keys)).astype(np.int64)
-                for w, t, n in zip(keys, learned.tolist(), np.bincount(place, minlength=len(keys)).tolist(), strict=True):
-                    held = counts.get(w)
-                    if held is None:
-                        counts[w] = [t, n]
-                    else:
-                        held[0] += t
-                        held[1] += n
+                for w, n in zip(keys, ((learned << 32) + np.bincount(place, minlength=len(keys))).tolist(), strict=True):
+                    counts[w] = counts.get(w, 0) + n
                 _, text, before, both = tokens.segments()
                 some = before > 0
                 raw = np.column_stack([before[some], both[some]]).astype(">u8").tobytes()
