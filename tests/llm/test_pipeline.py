@@ -59,3 +59,20 @@ def test_every_stage_keeps_the_rows_it_should(spark):
     for r in kept["near_dedup"]:
         whole[r.doc_id] += len(np.frombuffer(encoder.encode([r.text])[0], "<u4")) + 1
     assert packed == whole
+
+
+def test_stages_take_odd_rows_and_keep_all_columns(spark, tmp_path):
+    docs = queries.table(spark, SMALL, "documents")
+    extra = spark.createDataFrame([(None, None, None, None, None), (-1, "", "en", "x", 0), (-2, None, None, None, None), (-3, "\n\n \t", None, None, 4), (-4, "12 !", "en", "x", 4)], docs.schema)
+    odd = docs.unionByName(extra).unionByName(docs.where("doc_id % 40 = 0")).selectExpr("*", "1 AS node", "2 AS key", "3 AS score", "4 AS chosen_id")
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    queries.table(spark, SMALL, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    now = odd
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, now, str(tmp_path))
+        if name != "packing":
+            assert made.columns == odd.columns
+            assert stage(spark, now.where("false"), str(tmp_path)).count() == 0
+            now = materialize(made, f"odd-{name}")
+            assert {(r.node, r.key, r.score, r.chosen_id) for r in now.select("node", "key", "score", "chosen_id").distinct().collect()} == {(1, 2, 3, 4)}
+    assert made.count() >= now.count() > 0
