@@ -209,8 +209,7 @@ SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY slug ORDER BY p_part
 def q_slug_suffix(spark, d):
     """Unique slugs of names."""
     s = roles.table(spark, d, "part").select("p_partkey", names.slug(F.col("p_name")).alias("slug"))
-    n = F.row_number().over(Window.partitionBy("slug").orderBy("p_partkey"))
-    return s.withColumn("n", n).select("p_partkey", F.when(F.col("n") == 1, F.col("slug")).otherwise(F.concat_ws("_", "slug", F.col("n").cast("string"))).alias("stop_id"))
+    return matching.slugs(s, "slug", "p_partkey").select("p_partkey", "stop_id")
 
 
 def _sql_replace(text: str, pairs: list) -> str:

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from switchyard.operators import paths, schedule, sequence, spatial
+from switchyard.functions.geo import haversine_m
+from switchyard.operators import matching, paths, schedule, sequence, spatial
 from switchyard.operators.components import components
 
 
@@ -68,3 +69,25 @@ def test_rides_board_at_their_patterns_cost(spark):
     # 15 + 3 + 10 by the rare pattern, 2 + 3 + 1 + 12 by the frequent one
     assert {r.stop: r.cost for r in paths.ride_round(start, each, "board").collect()} == {1: 0, 2: 18, 3: 26}
     assert {r.stop: r.cost for r in paths.ride_round(start, stops, 8).collect()} == {1: 0, 2: 18, 3: 28}
+
+
+def test_suffixed_slugs_pass_over_taken_ones(spark):
+    rows = [(1, "a"), (2, "a"), (3, "a"), (4, "a_2"), (5, "b"), (6, "a_2"), (7, "c_1"), (8, "c")]
+    got = matching.slugs(spark.createDataFrame(rows, "id long, slug string"), "slug", "id").collect()
+    ids = {r.id: r.stop_id for r in got}
+    assert ids[1] == "a" and ids[4] == "a_2" and ids[5] == "b" and ids[7] == "c_1" and ids[8] == "c"
+    assert len(set(ids.values())) == len(rows)
+
+
+def test_distance_to_nothing_is_null(spark):
+    row = spark.createDataFrame([(22.5, 88.3, None, 88.3), (22.5, 88.3, 22.5, 88.3), (0.0, 0.0, 0.0, 180.0)], "a double, b double, c double, d double")
+    got = [r.m for r in row.select(haversine_m(*map(F.col, "abcd")).alias("m")).collect()]
+    assert got[0] is None and got[1] == 0 and round(got[2]) == 20_015_087
+
+
+def test_cascade_asks_a_tier_again_while_it_places(spark):
+    unplaced = spark.createDataFrame([(i,) for i in range(8)], "id long")
+    chain = lambda left, placed: left.where("id = 0").select("id", F.col("id").alias("place")) if placed is None else left.join(placed.select((F.col("id") + 1).alias("id")), "id").select("id", F.col("id").alias("place"))
+    rest = lambda left, placed: left.where("id >= 6").select("id", F.lit(99).cast("long").alias("place"))
+    got = {r.id: (r.tier, r["round"]) for r in matching.cascade(unplaced, [chain, rest], lambda offers, placed: offers, max_rounds=4).collect()}
+    assert got == {0: (1, 1), 1: (1, 2), 2: (1, 3), 3: (1, 4), 6: (2, 1), 7: (2, 1)}
