@@ -470,7 +470,7 @@ def q_classify(spark, d):
 
 
 @_query(f"""WITH p AS (SELECT s_suppkey, s_nationkey, {_MASKS.format(k='s_suppkey')} AS mask FROM supplier),
-b AS (SELECT *, list_sum([CAST(substr(mask, i, 1) AS INTEGER) * (1 << (7 - i)) FOR i IN range(1, 8)]) AS bits FROM p)
+b AS (SELECT *, list_sum([CAST(substr(mask, i, 1) AS INTEGER) * (1 << (7 - i)) FOR i IN range(1, 8)]) AS bits FROM p),
 g AS (SELECT s_nationkey, mask, CAST(bits AS INTEGER) AS bits, count(*) AS n FROM b GROUP BY ALL)
 SELECT x.s_nationkey AS route_id, x.mask AS mask, y.mask AS other, substr(x.mask, 1, 1) AS monday, CASE WHEN x.mask = y.mask THEN x.n * (x.n - 1) // 2 ELSE x.n * y.n END AS pairs
 FROM g x JOIN g y ON x.s_nationkey = y.s_nationkey AND x.mask <= y.mask AND (x.bits & y.bits) <> 0 WHERE x.mask <> y.mask OR x.n > 1""")
