@@ -88,3 +88,9 @@ def test_variants_shapes_and_samples(spark):
     assert [(r.a, r.b) for r in rows] == [("p", "q")] and rows[0].shape
     line = spark.createDataFrame([(list(range(100)),), (list(range(5)),)], "p array<int>").select(network.sampled(F.col("p"), 24).alias("s")).collect()
     assert len(line[0].s) == 24 and line[0].s[0] == 0 and line[0].s[-1] == 99 and line[1].s == list(range(5))
+
+
+def test_stops_of_one_name_in_groups(spark):
+    rows = [(1, "Ruby", 22.5, 88.4, ["bus"]), (2, "ruby", 22.505, 88.4, ["auto", "metro"]), (3, "Ruby", 22.6, 88.4, ["bus"]), (4, "Garia", 22.5, 88.4, []), (5, "RUBY", 22.5001, 88.4, ["rail"])]
+    got = network.stop_groups(spark.createDataFrame(rows, "stop long, name string, lat double, lon double, modes array<string>")).collect()
+    assert sorted((r.name, r.lat, r.modes, r.n) for r in got) == [("Garia", 22.5, [], 1), ("RUBY", 22.5001, ["auto", "bus", "metro", "rail"], 3), ("Ruby", 22.6, ["bus"], 1)]
