@@ -1,11 +1,13 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from switchyard.llm import bagminhash, language_id, packing, quality, queries, sentencepiece_codec, url_filter  # noqa: E402
+from switchyard.llm import bagminhash, language_id, packing, ppm, quality, queries, sentencepiece_codec, url_filter  # noqa: E402
 from switchyard.llm.byte_bpe import ChunkEncoder  # noqa: E402
 
 BPE, PIECES = queries.tokenizer_file("byte_bpe_50k.json"), queries.tokenizer_file("piece_bpe_32k.model")
