@@ -14,15 +14,16 @@ One newline byte follows every section and every block. All numbers are
 little-endian. 64 ids fill ``width`` whole 64-bit words, so both directions are
 64 shifts over whole columns of numpy arrays.
 
-Spark writes the files: documents are dealt into ranges of ascending id (ties by
-the text's hash, then by their place in the scan, so that even a table of equal
-rows spreads), each task encodes and packs its range and hands its sections over
-as raw lines, which Spark's own writer commits. No task holds more than a batch
-of documents and the tables of its own file, no local folder is used and a lost
-task is done again.
+Spark writes the files: documents are encoded where they are read, and their ids
+written once. These rows, a fraction of the texts, are dealt into ranges of
+ascending document id (ties by the ids' hash, then by their place in the scan, so
+that even a table of equal rows spreads); each task packs its range and hands its
+sections over as raw lines, which Spark's own writer commits. No task holds more
+than a batch of documents and the tables of its own file, no local folder is used
+and a lost task is done again.
 
 Defined cases: a null or empty text is just the end id; null ids come first;
-rows equal in id are ordered by their text's hash; repeated rows are written each
+rows equal in id are ordered by their ids' hash; repeated rows are written each
 for itself; a very long text runs over as many blocks as it needs; an empty
 table makes no document; other columns are ignored.
 """
@@ -41,12 +42,12 @@ from pyspark.sql import functions as F
 
 from switchyard.llm.arrowtext import need, slices, texts_of
 from switchyard.llm.byte_bpe import encoder
-from switchyard.storage import materialize
+from switchyard.storage import discard, materialize
 
 MAGIC, BLOCK, _GROUP = b"SWYTOK01", 4096, 64
 _TRAILER = struct.Struct("<8s6Q")
-#: Bytes of text that one file takes, about.
-FILE_TEXT = 64 << 20
+#: Ids that one file takes, about.
+FILE_IDS = 1 << 24
 
 
 def width_for(vocabulary: int) -> int:
@@ -58,8 +59,11 @@ def pack_bits(ids: np.ndarray, width: int) -> bytes:
     """Ids as ``width`` bits each, filled up with zeros to a multiple of 64 ids."""
     if len(ids) and int(ids.max()) >> width:
         raise ValueError(f"id {int(ids.max())} does not fit {width} bits")
-    padded = np.zeros(-(-len(ids) // _GROUP) * _GROUP, dtype=np.uint64)
+    whole = {8: "<u1", 16: "<u2", 32: "<u4"}.get(width)  # bits of whole numbers are those numbers
+    padded = np.zeros(-(-len(ids) // _GROUP) * _GROUP, dtype=whole or np.uint64)
     padded[: len(ids)] = ids
+    if whole:
+        return padded.tobytes()
     groups = np.ascontiguousarray(padded.reshape(-1, _GROUP).T)
     words = np.zeros((width, groups.shape[1]), dtype="<u8")
     for i in range(_GROUP):
@@ -72,6 +76,8 @@ def pack_bits(ids: np.ndarray, width: int) -> bytes:
 
 def unpack_bits(raw: bytes | memoryview, width: int) -> np.ndarray:
     """Ids (unsigned 32 bits) of whole groups of 64."""
+    if width in (8, 16, 32):
+        return np.frombuffer(raw, f"<u{width // 8}").astype("<u4")
     words = np.ascontiguousarray(np.frombuffer(raw, "<u8").reshape(-1, width).T)
     groups, mask = np.empty((_GROUP, words.shape[1]), dtype="<u4"), np.uint64((1 << width) - 1)
     for i in range(_GROUP):
@@ -181,33 +187,60 @@ class Packer:
         yield self._section(_TRAILER.pack(MAGIC, self.n_ids, len(self.blocks), documents, offsets, self.number, self.width))
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, file_text: int = FILE_TEXT) -> None:
-    """Writes all documents in ascending order of id below ``path``, one file for about ``file_text`` bytes of text."""
+def encode(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
+    """doc_id, n_ids and ids of every document, with the end id: little-endian, of two bytes where the vocabulary allows, else four."""
     source = need(docs, doc_id=doc_id, text=text)
-    held = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    keyed = source.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("row"))
+    kind, end = source.schema["doc_id"].dataType.simpleString(), np.array([end_id], dtype="<u4").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(tokenizer_path)
+        form = _whole_bytes(width_for(made.tokenizer.get_vocab_size()))
+        for batch in batches:
+            for part in slices(batch):
+                ids = [np.frombuffer(raw + end, "<u4").astype(form) for raw in made.encode(texts_of(part))]
+                columns = [part.column(0), pa.array([len(x) for x in ids], type=pa.int64()), pa.array([x.tobytes() for x in ids], type=pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_ids", "ids"])
+
+    return source.mapInArrow(run, f"doc_id {kind}, n_ids long, ids binary")
+
+
+def _whole_bytes(width: int) -> str:
+    return "<u2" if width <= 16 else "<u4"
+
+
+def vocabulary(tokenizer_path: str) -> int:
+    """Ids that a tokenizer file has."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path).get_vocab_size()
+
+
+def write(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, file_ids: int = FILE_IDS) -> None:
+    """Writes all documents in ascending order of id below ``path``, one file for about ``file_ids`` ids."""
+    encoded = encode(docs, tokenizer_path, doc_id=doc_id, text=text, end_id=end_id)
+    encoded = materialize(encoded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
+    held, width = encoded.agg(F.sum("n_ids")).first()[0] or 0, width_for(vocabulary(tokenizer_path))
+    form = _whole_bytes(width)
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("row")]
-    dealt = keyed.repartitionByRange(max(1, math.ceil(held / file_text)), *order).sortWithinPartitions(*order)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    dealt = encoded.withColumn("tie", F.xxhash64("ids")).repartitionByRange(max(1, math.ceil(held / file_ids)), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        made = encoder(tokenizer_path)
-        packer = Packer(width_for(made.tokenizer.get_vocab_size()), TaskContext.get().partitionId())
+        packer = Packer(width, TaskContext.get().partitionId())
 
         def out(sections: Iterator[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(list(sections), type=pa.binary())], ["section"])
 
         for batch in batches:
-            for part in slices(batch):
-                ids = [np.frombuffer(raw + end, "<u4") for raw in made.encode(texts_of(part))]
-                yield out(packer.add(part.column(0), ids))
+            for part in slices(batch, "ids"):
+                yield out(packer.add(part.column(0), [np.frombuffer(raw, form) for raw in part.column(1).to_pylist()]))
         yield out(packer.finish())
 
-    sections = dealt.select("doc_id", "text").mapInArrow(run, "section binary")
+    sections = dealt.select("doc_id", "ids").mapInArrow(run, "section binary")
     # A text line may hold any bytes; the writer adds the newline that the format has after every section.
     sections.select(F.col("section").cast("string").alias("value")).write.option("compression", "none").option("maxRecordsPerFile", 0).option("lineSep", "\n").text(path)
+    discard(encoded)
 
 
 def crc32(ids: np.ndarray) -> int:
