@@ -10,8 +10,8 @@ the text before any splitting.
 
 from __future__ import annotations
 
+import gc
 import re
-from collections.abc import Iterable
 
 import numpy as np
 
@@ -91,6 +91,15 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty. Equal to the library's encode(add_special_tokens=False) on each text."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here refers back to itself, and walking through the memos costs a tenth of the time
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         found, odd = {}, {}
         unseen: set[str] = set()
@@ -130,3 +139,8 @@ def encoder(path: str) -> ChunkEncoder:
     if path not in _OPEN:
         _OPEN[path] = ChunkEncoder(path)
     return _OPEN[path]
+
+
+def forget() -> None:
+    """Give back the memory of this worker's encoders, before work of another kind."""
+    _OPEN.clear()

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from switchyard.llm.arrowtext import need, slices, texts_of
-from switchyard.llm.byte_bpe import encoder
+from switchyard.llm.byte_bpe import encoder, forget
 from switchyard.storage import discard, materialize
 
 MAGIC, BLOCK, _GROUP = b"SWYTOK01", 4096, 64
@@ -227,6 +227,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        forget()
         packer = Packer(width, TaskContext.get().partitionId())
 
         def out(sections: Iterator[bytes]) -> pa.RecordBatch:
@@ -256,6 +257,7 @@ def read(spark: SparkSession, path: str, of_document: Callable[[np.ndarray], int
     files = spark.read.format("binaryFile").load(path).where("length > 0").select("content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for raw in batch.column(0):
                 file = PackedFile(raw.as_buffer())
