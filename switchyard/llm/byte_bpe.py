@@ -10,10 +10,13 @@ the text before any splitting.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from switchyard.llm.arrowtext import BoundedMemo
 
@@ -142,5 +145,9 @@ def encoder(path: str) -> ChunkEncoder:
 
 
 def forget() -> None:
-    """Give back the memory of this worker's encoders, before work of another kind."""
-    _OPEN.clear()
+    """Give back the memory of this worker's encoders to the machine, before work of another kind."""
+    if _OPEN:
+        _OPEN.clear()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)

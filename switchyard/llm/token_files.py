@@ -157,14 +157,13 @@ class Packer:
             self.blocks.append((self.place, zlib.crc32(part)))
             yield self._section(part)
 
-    def add(self, doc_ids: pa.Array, documents: list[np.ndarray]) -> Iterator[bytes]:
-        """Sections that these documents fill."""
-        sizes = np.array([len(d) for d in documents], dtype=np.int64)
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> Iterator[bytes]:
+        """Sections that documents of these sizes fill with these ids, one after the other."""
         starts = self.n_ids + np.cumsum(sizes) - sizes
         self.documents.append(pa.RecordBatch.from_arrays([doc_ids, pa.array(starts)], ["doc_id", "start"]))
-        self.open += documents
-        self.held += int(sizes.sum())
-        self.n_ids += int(sizes.sum())
+        self.open.append(ids)
+        self.held += len(ids)
+        self.n_ids += len(ids)
         if self.held >= BLOCK:
             ids = np.concatenate(self.open)
             whole = len(ids) // BLOCK * BLOCK
@@ -197,9 +196,12 @@ def encode(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text
         form = _whole_bytes(width_for(made.tokenizer.get_vocab_size()))
         for batch in batches:
             for part in slices(batch):
-                ids = [np.frombuffer(raw + end, "<u4").astype(form) for raw in made.encode(texts_of(part))]
-                columns = [part.column(0), pa.array([len(x) for x in ids], type=pa.int64()), pa.array([x.tobytes() for x in ids], type=pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_ids", "ids"])
+                raw = made.encode(texts_of(part))
+                sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4 + 1
+                ids = np.frombuffer(end.join([*raw, b""]), "<u4").astype(form)
+                places = np.concatenate([[0], np.cumsum(sizes)]) * ids.itemsize
+                held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(places), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), held.cast(pa.binary())], ["doc_id", "n_ids", "ids"])
 
     return source.mapInArrow(run, f"doc_id {kind}, n_ids long, ids binary")
 
@@ -235,7 +237,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id: str = "doc
 
         for batch in batches:
             for part in slices(batch, "ids"):
-                yield out(packer.add(part.column(0), [np.frombuffer(raw, form) for raw in part.column(1).to_pylist()]))
+                held = part.column(1).cast(pa.large_binary())
+                places = np.frombuffer(held.buffers()[1], "<i8")[held.offset :][: len(held) + 1]
+                ids = np.frombuffer(held.buffers()[2], "u1")[places[0] : places[-1]].view(form)
+                yield out(packer.add(part.column(0), ids, np.diff(places) // ids.itemsize))
         yield out(packer.finish())
 
     sections = dealt.select("doc_id", "ids").mapInArrow(run, "section binary")

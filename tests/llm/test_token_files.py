@@ -35,7 +35,7 @@ def packed(width=17, sizes=(0, 1, 4095, 4096, 9000, 3)):
     rng = np.random.default_rng(2)
     documents = [rng.integers(0, 1 << width, n).astype(np.uint32) for n in sizes]
     packer = token_files.Packer(width, 7)
-    sections = [s for i, d in enumerate(documents) for s in packer.add(pa.array([i]), [d])] + list(packer.finish())
+    sections = [s for i, d in enumerate(documents) for s in packer.add(pa.array([i]), d, np.array([len(d)]))] + list(packer.finish())
     return documents, b"".join(s + b"\n" for s in sections)
 
 
