@@ -580,7 +580,7 @@ def q_section_carry(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from switchyard.plans import feeds, lookups, places, rides, walks  # noqa: F401  (they register their queries)
+    from switchyard.plans import feeds, lookups, maps, places, rides, walks  # noqa: F401  (they register their queries)
 
     return dict(QUERIES)
 
