@@ -136,9 +136,8 @@ def area_hints(places: DataFrame, areas: DataFrame, max_m: float = 3000.0, town_
 
 def without_near(places: DataFrame, stops: DataFrame, metres: float) -> DataFrame:
     """``places(id, key, lat, lon)`` without those that have a stop of the same key within ``metres``."""
-    right = stops.select(F.col("key").alias("key2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    both = places.select("id", "key", "lat", "lon").join(right, F.col("key") == F.col("key2"))
-    close = both.where(haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= metres).select("id").distinct()
+    right = stops.select("key", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    close = radius_join(places.select("id", "key", "lat", "lon"), right, metres, on=["key"]).select("id").distinct()
     return places.join(close, "id", "left_anti")
 
 

@@ -89,6 +89,26 @@ def mirrored(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     return df.withColumn("direction", F.lit(0)).unionByName(back)
 
 
+def lagged(df: DataFrame, keys: list[str], order: str, values: list[str], width: int) -> DataFrame:
+    """``df`` with ``was_<value>`` of the row before in ``order`` (a whole number, unique within ``keys``).
+
+    For few keys with very many rows: rows are dealt to pieces of ``width`` in ``order``, each a task's window of its
+    own, and a piece's first row takes the last row of the piece before it that has any. Only the pieces' last rows, one
+    each, come together by key.
+    """
+    piece = F.floor(F.col(order) / width).alias("_piece")
+    rows = df.withColumn("_piece", piece).withColumn("_row", F.struct(*values))
+    inside = rows.withColumn("_was", F.lag("_row").over(Window.partitionBy(*keys, "_piece").orderBy(order)))
+    last = rows.groupBy(*keys, "_piece").agg(F.max_by("_row", order).alias("_last"))
+    carry = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_piece")).alias("_carry")
+    before = last.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_piece").alias("_p"), carry)
+    same = F.col("_piece") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    met = inside.join(before, same, "left").withColumn("_was", F.coalesce("_was", "_carry"))
+    return met.select(*df.columns, *[F.col("_was")[v].alias(f"was_{v}") for v in values])
+
+
 def carried_forward(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
     """The latest non-null ``value`` at or before each row."""
     return df.withColumn(name, F.last(value, ignorenulls=True).over(so_far(keys, order)))

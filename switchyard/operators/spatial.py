@@ -17,10 +17,11 @@ from switchyard.storage import discard, materialize
 _M_PER_DEGREE = 111_195.0
 
 
-def radius_join(left: DataFrame, right: DataFrame, metres: float, *, max_lat: float = 60.0) -> DataFrame:
+def radius_join(left: DataFrame, right: DataFrame, metres: float, *, on: list[str] | None = None, max_lat: float = 60.0) -> DataFrame:
     """Pairs of ``left(id, lat, lon, ...)`` and ``right(id2, lat2, lon2, ...)`` within ``metres``, with ``distance_m``.
 
-    Both sides' other columns stay; positions must lie within ``max_lat`` degrees of the equator.
+    Both sides' other columns stay; columns ``on`` of both sides must be equal too. Positions must lie within
+    ``max_lat`` degrees of the equator.
     """
     size = metres / _M_PER_DEGREE / math.cos(math.radians(max_lat))
     near = [F.lit(d) for d in (-1, 0, 1)]
@@ -28,7 +29,7 @@ def radius_join(left: DataFrame, right: DataFrame, metres: float, *, max_lat: fl
     b = right.withColumns({"_x": grid_cell(F.col("lat2"), size), "_y": grid_cell(F.col("lon2"), size)})
     b = b.withColumn("_dx", F.explode(F.array(*near))).withColumn("_dy", F.explode(F.array(*near)))
     b = b.withColumns({"_x": F.col("_x") + F.col("_dx"), "_y": F.col("_y") + F.col("_dy")}).drop("_dx", "_dy")
-    pairs = a.join(b, ["_x", "_y"]).drop("_x", "_y")
+    pairs = a.join(b, ["_x", "_y", *(on or [])]).drop("_x", "_y")
     return pairs.withColumn("distance_m", haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))).where(F.col("distance_m") <= metres)
 
 

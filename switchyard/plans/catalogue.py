@@ -109,11 +109,10 @@ SELECT event_type, count(*) AS n, CAST(floor(median(us - was)) AS BIGINT) AS med
 WHERE was IS NOT NULL AND ((minute >= 420 AND minute < 600 AND wasm >= 420 AND wasm < 600) OR (minute >= 1020 AND minute < 1200 AND wasm >= 1020 AND wasm < 1200)) GROUP BY event_type""")
 def q_headway_median(spark, d):
     """Median gap between departures of a type in the peaks."""
-    w = Window.partitionBy("event_type").orderBy("event_id")
-    gaps = roles.departures(spark, d).withColumns({"was": F.lag("us").over(w), "wasm": F.lag("minute").over(w)})
-    inside = lambda a, b: F.col("minute").between(a, b - 1) & F.col("wasm").between(a, b - 1)
+    gaps = sequence.lagged(roles.departures(spark, d), ["event_type"], "event_id", ["us", "minute"], 1 << 16)
+    inside = lambda a, b: F.col("minute").between(a, b - 1) & F.col("was_minute").between(a, b - 1)
     gaps = gaps.where(inside(420, 600) | inside(1020, 1200))
-    return gaps.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.floor(F.median(F.col("us") - F.col("was"))).cast("long").alias("median_us"))
+    return gaps.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.floor(F.median(F.col("us") - F.col("was_us"))).cast("long").alias("median_us"))
 
 
 @_query(f"""WITH {SQL_DEPARTURES}, g AS (SELECT user_id, CAST(ts AS DATE) AS day, min(minute) AS a, max(minute) AS b, count(*) AS n FROM deps GROUP BY ALL)

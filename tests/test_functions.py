@@ -45,3 +45,11 @@ def test_spellings_share_keys(spark):
     assert one(spark, names.token_key(F.lit("ii"))) == "2"
     assert one(spark, names.first_word(F.lit("Park Circus - Seven Point"))) == "park"
     assert one(spark, names.first_word(F.lit("Metro Station"))) is None
+
+
+def test_fold_spreads_what_stands_for_several_letters(spark):
+    from switchyard.functions import names
+
+    texts = ["№ 5 Gate", "½ mile", "ﬁne…", "Brand™", "é–ñ漢", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(names.fold(F.col("t"))).collect()]
+    assert got == ["No 5 Gate", "12 mile", "fine...", "BrandTM", "e-n", "", None]

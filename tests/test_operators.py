@@ -91,3 +91,17 @@ def test_cascade_asks_a_tier_again_while_it_places(spark):
     rest = lambda left, placed: left.where("id >= 6").select("id", F.lit(99).cast("long").alias("place"))
     got = {r.id: (r.tier, r["round"]) for r in matching.cascade(unplaced, [chain, rest], lambda offers, placed: offers, max_rounds=4).collect()}
     assert got == {0: (1, 1), 1: (1, 2), 2: (1, 3), 3: (1, 4), 6: (2, 1), 7: (2, 1)}
+
+
+def test_lagged_equals_a_lag_over_whole_keys(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([i, None]), f"v{i}") for i in rng.sample(range(-300, 300), 200)]
+    frame = spark.createDataFrame(rows, "k string, at long, x long, y string")
+    got = {(r.k, r["at"]): (r.was_x, r.was_y) for r in sequence.lagged(frame, ["k"], "at", ["x", "y"], 7).collect()}
+    want, last = {}, {}
+    for k, at, x, y in sorted(rows, key=lambda r: r[1]):
+        want[k, at] = last.get(k, (None, None))
+        last[k] = (x, y)
+    assert got == want
