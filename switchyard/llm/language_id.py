@@ -22,6 +22,7 @@ for itself; equal cross-entropies go to the alphabetically first language.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +36,19 @@ from switchyard.llm.arrowtext import TokenRows, slices, texts_of
 
 ORDER, DISCOUNT = 5, 0.75
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
+def _numerals() -> str:
+    """Characters that count as parts of words for being numerals of some kind (½, ², ①, Ⅷ), but are no letters."""
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+
+
+_NUMERALS, _OTHERS = re.compile(f"[{_numerals()}]"), re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    """A text's letters, with a space for each run of anything else."""
+    return _OTHERS.sub(" ", text if text.isascii() else _NUMERALS.sub(" ", text)).strip()
 UNDETERMINED = "und"
 
 
@@ -94,7 +107,7 @@ class LanguageModels:
 
     def word_scores(self, tokens: list[str]) -> np.ndarray:
         """[token, language...] sums of natural log probabilities, and last the predicted characters."""
-        words = [_NOT_LETTERS.sub(" ", t.lower()).strip() for t in tokens]
+        words = [letters(t.lower()) for t in tokens]
         out = np.zeros((len(tokens), len(self.languages) + 1))
         real = [i for i, w in enumerate(words) if w]
         if not real:
@@ -189,7 +202,7 @@ def fit(train: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: s
         for batch in batches:
             counts: Counter = Counter()
             for name, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.update((name, w) for w in (_NOT_LETTERS.sub(" ", x).strip() for x in t.lower().split()) if w)
+                counts.update((name, w) for w in map(letters, t.lower().split()) if w)
             if counts:
                 names, words = zip(*counts, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(words), pa.array(counts.values(), pa.int64())], ["lang", "word", "n"])

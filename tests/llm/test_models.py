@@ -155,3 +155,10 @@ def test_registered_quality_query_learns_nothing_from_the_held_out_fold(spark):
     other = docs.withColumn("text", quality.F.when(queries.held_out(5), quality.F.lit("all else")).otherwise(quality.F.col("text")))
     one, two = (queries.fit_quality(d, queries.table(spark, SMALL, "labels")) for d in (docs, other))
     assert np.array_equal(one.vectors, two.vectors) and np.array_equal(one.net.w1, two.net.w1)
+
+
+def test_texts_of_numerals_alone_have_no_language(spark):
+    texts = ["½ ²", "①②", "Ⅷ", "٣ 12", "_ - 7", "½a", "一", "²é"]
+    learn = spark.createDataFrame([(i, "the quick brown fox and a dog " * 3, "en") for i in range(40)], "doc_id long, text string, lang string")
+    rows = language_id.predict(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), language_id.fit(learn)).collect()
+    assert {texts[r.doc_id] for r in rows if r.lang_pred == "und"} == {t for t in texts if not any(c.isalpha() for c in t)}
