@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from switchyard.functions import bengali, lines, likeness
+from switchyard.functions import bengali, likeness, lines, names
 from switchyard.operators import clustering, search
 from switchyard.sources import files, sinks
 
@@ -116,3 +116,31 @@ def test_queries_equal_their_sql(spark, name):
     want = con.sql(catalogue.oracle_sql()[name])
     got = catalogue.queries()[name](spark, d).select(want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_search_by_index_equals_scoring_everything(spark):
+    import random
+
+    rng = random.Random(12)
+    words = ["park", "parking", "street", "stret", "lake", "central", "centre", "sector", "2", "new", "market", "mkt", "garia", "gariahat", "teresa", "ma"]
+    rows = [(i, " ".join(rng.sample(words, rng.randint(0, 3))), [" ".join(rng.sample(words, rng.randint(1, 2))) for _ in range(rng.randint(0, 2))], rng.choice([None, "salt lake", "howrah"]), "bus stop", rng.randrange(5), 22.0 + rng.random(), 88.0 + rng.random()) for i in range(120)]
+    entries = search.entries(spark.createDataFrame(rows, "id long, name string, alts array<string>, area string, type string, rank int, lat double, lon double"))
+    texts = [" ".join(rng.sample(words, rng.randint(1, 3))) for _ in range(25)] + ["prak", "garaihat", "parks", "centrl lake", "newmarket", "arkstr", "marke howrah", "stop", "2", "x", "", "teresaa park", "seetor 2", "lak", "ksto"]
+    texts += [t[:-1] for t in texts if len(t) > 4]
+    asked = spark.createDataFrame(list(enumerate(texts)), "query_id long, text string")
+    got = {(r.query_id, r.id): round(r.score, 9) for r in search.search_all(entries, asked).collect()}
+    tokens = {r.query_id: list(r.t) for r in asked.select("query_id", names.tokens(F.trim("text")).alias("t")).collect()}
+    want, every = {}, entries.collect()
+    for q, text in enumerate(texts):
+        if len(text.strip()) < 2 or not tokens[q]:
+            continue
+        one = lambda r, fuzzy: search.score(tokens[q], list(r.toks), [list(a) for a in r.alt_toks], list(r.context), r["rank"], r["name"], fuzzy)  # noqa: E731, B023
+        hits = {r.id: (s, r) for r in every if (s := one(r, False)) is not None}
+        if len(hits) < search.FEW and len("".join(tokens[q])) >= 4:
+            hits |= {r.id: (s - search.FUZZY_COST, r) for r in every if r.id not in hits and (s := one(r, True)) is not None}
+        best = {}
+        for i, (s, r) in hits.items():
+            cell = (r.key, int((r.lat * 50 + 0.5) // 1), int((r.lon * 50 + 0.5) // 1))
+            best[cell] = min(best.get(cell, (1e9, 0)), (-s, i))
+        want |= {(q, i): round(-s, 9) for s, i in sorted(best.values())[: search.SHOWN]}
+    assert got == want and len(got) > 100
