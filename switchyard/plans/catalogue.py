@@ -579,7 +579,7 @@ def q_section_carry(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from switchyard.plans import feeds, homonyms, lookups, maps, places, printed, rides, walks  # noqa: F401  (they register their queries)
+    from switchyard.plans import feeds, homonyms, kinds, lookups, maps, places, printed, rides, walks  # noqa: F401  (they register their queries)
 
     return dict(QUERIES)
 
