@@ -92,31 +92,33 @@ def test_nothing_to_split(spark):
 LINE = [(22.0 + i * 0.001, 88.0005) for i in range(60)]
 
 
-@pytest.mark.parametrize(
-    "change, placed",
-    [
-        ({}, True),
-        ({"routes": {1: ["a", "x", "u", "v", "b"]}}, False),  # four calls apart
-        ({"points": {"b": (22.05, 88.0)}}, False),  # 4.4 km apart
-        ({"points": {"b": (22.02, 88.02)}}, False),  # two kilometres beside the line
-        ({"method": "interpolated"}, False),
-        ({"lines": {}}, False),
-        ({"lines": {1: [LINE[0], LINE[20]]}}, False),  # no vertex within half a kilometre
-        ({"lines": {1: LINE, 2: [(p[0], p[1] + 0.0055) for p in LINE]}}, False),  # two routes disagree
-        ({"lines": {1: LINE, 2: [(p[0], p[1] + 0.002) for p in LINE]}}, True),
-        ({"routes": {1: ["a", "x", "b"], 2: ["far", "x"]}, "points": {"far": (23.0, 88.0)}}, False),  # another route speaks against it
-    ],
-)
-def test_stops_on_the_line(spark, change, placed):
-    routes = change.get("routes") or {1: ["a", "x", "b"], 2: ["a", "x", "b"]}
-    points = {"a": (22.0, 88.0), "b": (22.02, 88.0)} | change.get("points", {})
-    calls, _ = tables(spark, routes, points)
-    known = spark.createDataFrame([(s, *p, change.get("method", "survey")) for s, p in points.items()], "stop_id string, lat double, lon double, method string")
-    drawn = change.get("lines", {1: LINE})
-    lines = spark.createDataFrame(list(drawn.items()), "route_id long, line array<struct<lat:double,lon:double>>")
-    got = linefill.interpolated(calls, known, lines).collect()
-    assert bool(got) == placed
-    if placed:
-        (r,) = got
-        shift = 0.001 if 2 in drawn else 0.0
-        assert (r.stop_id, r.lat, r.lon, r.routes, r.before_id, r.after_id) == ("x", 22.01, pytest.approx(88.0005 + shift), len(drawn), "a", "b")
+CASES = [
+    ({}, True),
+    ({"routes": {1: ["a", "x", "u", "v", "b"]}}, False),  # four calls apart
+    ({"points": {"b": (22.05, 88.0)}}, False),  # 4.4 km apart
+    ({"points": {"b": (22.02, 88.02)}}, False),  # two kilometres beside the line
+    ({"method": "interpolated"}, False),
+    ({"lines": {}}, False),
+    ({"lines": {1: [LINE[0], LINE[20]]}}, False),  # no vertex within half a kilometre
+    ({"lines": {1: LINE, 2: [(p[0], p[1] + 0.0055) for p in LINE]}}, False),  # two routes disagree
+    ({"lines": {1: LINE, 2: [(p[0], p[1] + 0.002) for p in LINE]}}, True),
+    ({"routes": {1: ["a", "x", "b"], 2: ["far", "x"]}, "points": {"far": (23.0, 88.0)}}, False),  # another route speaks against it
+]
+
+
+def test_stops_on_the_line(spark):
+    """Every case by itself in one table: case ``n`` has its own stops and routes."""
+    routes, known, lines, want = {}, [], [], {}
+    for n, (change, placed) in enumerate(CASES):
+        routes |= {10 * n + r: [f"{n}{s}" for s in seq] for r, seq in (change.get("routes") or {1: ["a", "x", "b"], 2: ["a", "x", "b"]}).items()}
+        points = {"a": (22.0, 88.0), "b": (22.02, 88.0)} | change.get("points", {})
+        known += [(f"{n}{s}", *p, change.get("method", "survey")) for s, p in points.items()]
+        drawn = change.get("lines", {1: LINE})
+        lines += [(10 * n + r, line) for r, line in drawn.items()]
+        if placed:
+            want[f"{n}x"] = (22.01, 88.0015 if 2 in drawn else 88.0005, len(drawn), 10 * n + 1, f"{n}a", f"{n}b")
+    calls, _ = tables(spark, routes, {"unused": (0.0, 0.0)})
+    known = spark.createDataFrame(known, "stop_id string, lat double, lon double, method string")
+    lines = spark.createDataFrame(lines, "route_id long, line array<struct<lat:double,lon:double>>")
+    got = {r.stop_id: (r.lat, r.lon, r.routes, r.route_id, r.before_id, r.after_id) for r in linefill.interpolated(calls, known, lines).collect()}
+    assert got == {s: (w[0], pytest.approx(w[1]), *w[2:]) for s, w in want.items()}
