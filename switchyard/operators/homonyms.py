@@ -102,15 +102,17 @@ def tested_moves(calls: DataFrame, points: DataFrame) -> DataFrame:
     off = routes.where("off AND NOT fits").join(fitting, "stop_id", "left_semi").select("stop_id", "route_id")
     near = validation.neighbours(_calls(calls), plain).join(off, ["stop_id", "route_id"], "left_semi")
     first = near.groupBy("stop_id", "route_id").agg(F.min_by(F.struct("pos", "before", "after"), "pos").alias("n")).select("stop_id", "route_id", "n.*").join(known, "stop_id")
-    col = F.col
-    close = {s: F.coalesce(F.abs(col(f"{s}.pos") - col("pos")) <= CLOSE, F.lit(False)) for s in ("before", "after")}
-    away = {s: km(col("at"), col(s)) for s in ("before", "after")}
-    both = close["before"] & close["after"] & (km(col("before"), col("after")) <= FAR_AGREE_KM) & (F.least(away["before"], away["after"]) >= FAR_KM)
+    col, sides = F.col, ("before", "after")
+    measured = {f"{s}_close": F.coalesce(F.abs(col(f"{s}.pos") - col("pos")) <= CLOSE, F.lit(False)) for s in sides} | {f"{s}_km": km(col("at"), col(s)) for s in sides}
+    # written, so that the distances are worked out once and not in every use below
+    first = materialize(first.withColumns(measured | {"between_km": km(col("before"), col("after"))}), "homonym-measured")
+    close, away = ({s: col(f"{s}_{what}") for s in sides} for what in ("close", "km"))
+    both = close["before"] & close["after"] & (col("between_km") <= FAR_AGREE_KM) & (F.least(away["before"], away["after"]) >= FAR_KM)
 
     def pair(a: str, b: str) -> Column:
         return F.struct(col(f"{a}.stop_id").alias("a"), col(f"{b}.stop_id").alias("b"), F.least(away[a], away[b]).alias("km"))
 
-    one = [close[s] & (away[s] >= FAR_KM) for s in ("before", "after")]
+    one = [close[s] & (away[s] >= FAR_KM) for s in sides]
     pick = F.when(both, pair("before", "after")).when(one[0], pair("before", "before")).when(one[1], pair("after", "after"))
     far = first.withColumn("p", pick).where("p IS NOT NULL").select("stop_id", "route_id", "p.*")
     good = validation.verdicts(results).where(col("passes") >= SUPPORT).select("stop_id")
