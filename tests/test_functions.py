@@ -53,3 +53,15 @@ def test_fold_spreads_what_stands_for_several_letters(spark):
     texts = ["№ 5 Gate", "½ mile", "ﬁne…", "Brand™", "é–ñ漢", "", None]
     got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(names.fold(F.col("t"))).collect()]
     assert got == ["No 5 Gate", "12 mile", "fine...", "BrandTM", "e-n", "", None]
+
+
+def test_edits_of_many_pairs_at_once_are_those_of_each():
+    from itertools import product
+
+    from switchyard.functions.likeness import all_edits, edits
+
+    words = ["".join(w) for n in range(5) for w in product("ab", repeat=n)] + ["Garia", "Gaira", "Graia", "Howrah", "Hawra", "é–漢x", "漢–éx", "😀a", "a😀"]
+    a, b = zip(*product(words, words))
+    for most in (0, 1, 2, 3):
+        assert all_edits(list(a), list(b), most).tolist() == [edits(p, q, most) for p, q in zip(a, b)]
+    assert all_edits([], [], 2).tolist() == []
