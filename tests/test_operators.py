@@ -105,3 +105,39 @@ def test_lagged_equals_a_lag_over_whole_keys(spark):
         want[k, at] = last.get(k, (None, None))
         last[k] = (x, y)
     assert got == want
+
+
+def shuffled_rows(spark, df):
+    """Rows of ``df``, and rows that its run wrote to shuffles."""
+    rows = df.collect()
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    run = runs.apply(runs.size() - 1)
+    values, wanted = store.executionMetrics(run.executionId()), 0
+    for i in range(run.metrics().size()):
+        metric = run.metrics().apply(i)
+        if metric.name() == "shuffle records written" and values.contains(metric.accumulatorId()):
+            wanted += int(values.apply(metric.accumulatorId()).split("\n")[-1].split(" ")[0].replace(",", "") or 0)
+    return rows, wanted
+
+
+def test_partners_of_common_names_are_not_shuffled(spark):
+    from switchyard.operators import matching
+
+    ids, places = range(300), range(400)
+    index = spark.createDataFrame([(p, "College Street", p % 2) for p in places], "place long, name string, source long")
+    asked = spark.createDataFrame([(i, ["nowhere", "College Street"]) for i in ids], "id long, names array<string>")
+    rows, shuffled = shuffled_rows(spark, matching.named_join(asked, index.select("place", "name")))
+    assert sorted(map(tuple, rows)) == [(i, p, 1, 1) for i in ids for p in places] and shuffled < 60_000
+    rows, shuffled = shuffled_rows(spark, matching.skeleton_join(asked.selectExpr("id", "names[1] AS name"), index))
+    assert sorted(map(tuple, rows)) == [(i, p) for i in ids for p in places if p % 2 == 0] and shuffled < 60_000
+
+
+def test_partners_of_ids_and_places_of_several_names_come_once(spark):
+    from switchyard.operators import matching
+
+    index = spark.createDataFrame([(1, "College Street"), (1, "Salt Lake City"), (2, "Salt Lake City"), (3, "Howrah")], "place long, name string")
+    asked = spark.createDataFrame([(7, ["College Street"]), (7, ["Salt Lake City"]), (8, ["x", "Howrah"]), (None, ["Howrah"]), (9, ["y"])], "id long, names array<string>")
+    assert sorted(map(tuple, matching.named_join(asked, index).collect())) == [(7, 1, 0, 1), (7, 2, 0, 1), (8, 3, 1, 1)]
+    asked = asked.selectExpr("id", "explode(names) AS name")
+    assert sorted(map(tuple, matching.skeleton_join(asked, index.selectExpr("*", "1 AS source"), 3).collect())) == [(7, 1), (7, 2)]
