@@ -343,8 +343,12 @@ _TRANSFER_SQL = f"""WITH {SQL_STOPS}, t AS (SELECT a.stop_id AS from_id, b.stop_
 FROM stops a JOIN stops b ON a.stop_id <> b.stop_id AND {_DIST} <= 8000 AND a.s_nationkey % 3 = b.s_nationkey % 3 AND NOT (a.s_nationkey % 4 = 0 AND b.s_nationkey % 4 = 0))"""
 
 
+#: Metres of a transfer, and which two nations' stops have one.
+_TRANSFER_M, _TRANSFER_GROUPS = 8000, "s_nationkey % 3 = s_nationkey2 % 3 AND NOT (s_nationkey % 4 = 0 AND s_nationkey2 % 4 = 0)"
+
+
 def _transfers(spark, d) -> DataFrame:
-    near = _stop_pairs(spark, d, 8000).where("stop_id < stop_id2 AND s_nationkey % 3 = s_nationkey2 % 3 AND NOT (s_nationkey % 4 = 0 AND s_nationkey2 % 4 = 0)")
+    near = _stop_pairs(spark, d, _TRANSFER_M).where(f"stop_id < stop_id2 AND {_TRANSFER_GROUPS}")
     one = near.select(F.col("stop_id").alias("from_id"), F.col("stop_id2").alias("to_id"), geo.transfer_seconds(F.col("distance_m")).alias("seconds"))
     return one.unionByName(one.select(F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"), "seconds"))
 
@@ -365,10 +369,11 @@ def q_interchange_override(spark, d):
     c = roles.stops(spark, d).where("stop_id % 4 = 1").select(F.col("stop_id").alias("x"), (F.col("stop_id") % 37 + 1).alias("y")).where("x <> y")
     pairs = c.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
     at = roles.stops(spark, d)
-    a, b = at.select(F.col("stop_id").alias("p"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1")), at.select(F.col("stop_id").alias("q"), "lat", "lon")
+    a = at.select(F.col("stop_id").alias("p"), "s_nationkey", F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
+    b = at.select(F.col("stop_id").alias("q"), F.col("s_nationkey").alias("s_nationkey2"), "lat", "lon")
     far = pairs.join(a, "p").join(b, "q").withColumn("m", geo.haversine_m(F.col("lat1"), F.col("lon1"), F.col("lat"), F.col("lon"))).where("m <= 30000")
-    have = t.select(F.col("from_id").alias("p"), F.col("to_id").alias("q"))
-    new = far.join(have, ["p", "q"], "left_anti").select(F.col("p").alias("from_id"), F.col("q").alias("to_id"), geo.transfer_seconds(F.col("m")).alias("seconds"))
+    # whether a pair has a transfer is for its own distance and nations to say: no transfer is made a second time
+    new = far.where(~(F.coalesce((F.col("m") <= _TRANSFER_M) & F.expr(_TRANSFER_GROUPS), F.lit(False)))).select(F.col("p").alias("from_id"), F.col("q").alias("to_id"), geo.transfer_seconds(F.col("m")).alias("seconds"))
     both = new.unionByName(new.select(F.col("to_id").alias("from_id"), F.col("from_id").alias("to_id"), "seconds"))
     return t.withColumn("kind", F.lit("near")).unionByName(both.withColumn("kind", F.lit("listed")))
 
@@ -380,17 +385,41 @@ _WEIGHED = f"CASE WHEN b.stop_id % 2 = 0 THEN floor({_DIST}) * 16 ELSE floor({_D
 FROM stops a JOIN stops b ON a.stop_id <> b.stop_id AND b.stop_id % 10 < 5 AND {_DIST} <= 6000) SELECT stop_id, area_id, w FROM p WHERE i = 1""")
 def q_nearest_area(spark, d):
     """The nearest area of each stop, towns counted farther."""
-    near = _stop_pairs(spark, d, 6000).where("stop_id <> stop_id2 AND stop_id2 % 10 < 5")
-    w = F.when(F.col("stop_id2") % 2 == 0, _metres("distance_m") * 16).otherwise(_metres("distance_m") * 10)
-    best = spatial.nearest(near.select("stop_id", w.alias("w"), F.col("stop_id2").alias("area_id")), "stop_id", "w", "area_id")
-    return best.select("stop_id", "area_id", "w")
+    s = roles.stops(spark, d).where("stop_id IS NOT NULL").select("stop_id", "lat", "lon")
+    # areas of one kind at one place are alike but for their ids, of which the least wins
+    kind = (F.col("stop_id") % 2 == 0).alias("town")
+    areas = s.where("stop_id % 10 < 5").groupBy(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), kind)
+    areas = areas.agg(F.min("stop_id").alias("area_id"))
+    weight = F.when(F.col("town"), _metres("distance_m") * 16).otherwise(_metres("distance_m") * 10).alias("w")
+
+    def away_of(places: DataFrame, reach: int) -> DataFrame:
+        near = spatial.radius_join(places, areas, reach, max_lat=30.0).where("lat <> lat2 OR lon <> lon2")
+        return spatial.nearest(near.select(F.struct("lat", "lon").alias("at"), weight, "area_id"), "at", "w", "area_id")
+
+    # what lies past the small circle weighs ten a metre at least, so only places that found nothing lighter look further
+    places = s.select("lat", "lon").distinct()
+    close = away_of(places, 800).where("w < 8000")
+    away = close.unionByName(away_of(places.withColumn("at", F.struct("lat", "lon")).join(close.select("at"), "at", "left_anti").select("lat", "lon"), 6000))
+    # at a stop's own place its neighbours in order of their ids are enough
+    w = Window.partitionBy("lat", "lon").orderBy("stop_id")
+    area = F.when(F.col("stop_id") % 10 < 5, F.col("stop_id"))
+    first = F.first(area, ignorenulls=True)
+    here = s.select("stop_id", F.struct("lat", "lon").alias("at"), F.coalesce(first.over(w.rowsBetween(Window.unboundedPreceding, -1)), first.over(w.rowsBetween(1, Window.unboundedFollowing))).alias("own"))
+    met = here.join(away, "at", "left")
+    both = F.least(F.when(F.col("own").isNotNull(), F.struct(F.lit(0).cast("long").alias("w"), F.col("own").alias("area_id"))), F.when(F.col("area_id").isNotNull(), F.struct("w", "area_id")))
+    return met.select("stop_id", both.alias("best")).where("best IS NOT NULL").select("stop_id", "best.area_id", "best.w")
 
 
 @_query(f"""WITH {SQL_STOPS}, p AS (SELECT a.stop_id AS stop_id, b.stop_id AS node_id, {_DIST} AS m FROM stops a JOIN stops b ON a.stop_id <> b.stop_id AND {_DIST} <= 9000),
 l AS (SELECT stop_id, min(m) AS least FROM p GROUP BY stop_id) SELECT p.stop_id, node_id, CAST(floor(m) AS BIGINT) AS m FROM p JOIN l ON l.stop_id = p.stop_id WHERE m <= least + 1200""")
 def q_snap_slack(spark, d):
     """All track nodes nearly as near as the nearest."""
-    near = _stop_pairs(spark, d, 9000).where("stop_id <> stop_id2").select("stop_id", F.col("stop_id2").alias("node_id"), "distance_m")
+    s = roles.stops(spark, d).select("stop_id", "lat", "lon")
+    other = s.select(F.col("stop_id").alias("node_id"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    # the nearest of all lies in a small circle for most; only the others look through the whole one
+    reach = lambda a, metres: spatial.radius_join(a, other, metres, max_lat=30.0).where("stop_id <> node_id").select("stop_id", "node_id", "distance_m")
+    close = reach(s, 2400).groupBy("stop_id").agg(F.min("distance_m").alias("least")).where("least <= 1200")
+    near = reach(s.join(close, "stop_id", "left_semi"), 2400).unionByName(reach(s.join(close, "stop_id", "left_anti"), 9000))
     return spatial.snap_with_slack(near, "stop_id", 1200).select("stop_id", "node_id", _metres("distance_m").alias("m"))
 
 
@@ -502,14 +531,17 @@ def q_reach_fallback(spark, d):
     """Stops near a place, in growing radii."""
     k = F.col("c_custkey")
     places = roles.table(spark, d, "customer").select(k.alias("place_id"), roles.lat_of(k * 3).alias("lat"), roles.lon_of(k * 3).alias("lon"))
-    s = roles.stops(spark, d).select("stop_id", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    # each radius only for the places that the one before left without a stop
-    left, found = places, []
+    # stops of one place count together, and places of one position are one
+    s = roles.stops(spark, d).groupBy(F.col("lat").alias("lat2"), F.col("lon").alias("lon2")).agg(F.count(F.lit(1)).alias("stops"))
+    ids = places.select("place_id", F.struct("lat", "lon").alias("at"))
+    # each radius only for the positions that the one before left without a stop
+    left, found = places.select(F.struct("lat", "lon").alias("at"), "lat", "lon").distinct(), []
     for metres in (1500, 3000, 15_000):
-        near = spatial.radius_join(left, s, metres, max_lat=30.0).groupBy("place_id").agg(F.count(F.lit(1)).alias("n"))
-        found.append(near.select("place_id", F.lit(metres).alias("radius"), F.when(F.lit(metres == 15_000), F.lit(1)).otherwise(F.col("n")).cast("long").alias("n")))
-        left = left.join(near, "place_id", "left_anti")
-    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(left.select("place_id", F.lit(0).alias("radius"), F.lit(0).cast("long").alias("n")))
+        near = spatial.radius_join(left, s, metres, max_lat=30.0).groupBy("at").agg(F.sum("stops").alias("n"))
+        found.append(near.select("at", F.lit(metres).alias("radius"), F.when(F.lit(metres == 15_000), F.lit(1)).otherwise(F.col("n")).cast("long").alias("n")))
+        left = left.join(near, "at", "left_anti")
+    every = found[0].unionByName(found[1]).unionByName(found[2])
+    return ids.join(every, "at", "left").select("place_id", F.coalesce("radius", F.lit(0)).alias("radius"), F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def _patterns(spark, d) -> DataFrame:
@@ -541,13 +573,25 @@ def q_raptor_k2(spark, d):
     return labels
 
 
+#: Degrees of a cell that any two of whose points are under four kilometres apart.
+_CELL = 0.02
+
+
 @_query(f"""WITH RECURSIVE {SQL_STOPS}, e AS (SELECT a.stop_id AS u, b.stop_id AS v FROM stops a JOIN stops b ON a.stop_id <> b.stop_id AND {_DIST} <= 4000),
 r AS (SELECT stop_id AS u, stop_id AS v FROM stops UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u) SELECT u AS stop_id, min(v) AS component FROM r GROUP BY u""")
 def q_components(spark, d):
     """Groups of stops joined by short walks."""
-    edges = _stop_pairs(spark, d, 4000).where("stop_id < stop_id2").select(F.col("stop_id").alias("u"), F.col("stop_id2").alias("v"))
-    found = components(edges)
-    s = roles.stops(spark, d).select("stop_id")
+    s = roles.stops(spark, d).select("stop_id", "lat", "lon")
+    # stops of one small cell, whose corners are under the limit apart, are tied to its least stop; of two cells one pair
+    # is enough, so pairs across cells are reduced to one before anything else is made of them
+    cell = F.struct(geo.grid_cell(F.col("lat"), _CELL).alias("x"), geo.grid_cell(F.col("lon"), _CELL).alias("y"))
+    placed = s.groupBy("lat", "lon").agg(F.min("stop_id").alias("stop_id")).withColumn("cell", cell)
+    least = s.withColumn("cell", cell).groupBy("cell").agg(F.min("stop_id").alias("v"))
+    within = s.withColumn("cell", cell).join(least, "cell").select(F.col("stop_id").alias("u"), "v")
+    other = placed.select(F.col("cell").alias("cell2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    near = spatial.radius_join(placed.select("cell", "lat", "lon"), other, 4000, max_lat=30.0).where("cell < cell2").select("cell", "cell2").distinct()
+    across = near.join(least.withColumnRenamed("v", "u"), "cell").join(least.select(F.col("cell").alias("cell2"), "v"), "cell2").select("u", "v")
+    found = components(within.where("u <> v").unionByName(across))
     return s.join(found, F.col("node") == F.col("stop_id"), "left").select("stop_id", F.coalesce("component", "stop_id").alias("component"))
 
 

@@ -136,3 +136,40 @@ def test_edits_of_all_pairs_of_a_nation(spark, tables):
     want = {(a, b, None if x is None or y is None else min(_edits(x, y), 3)) for a, x, n, _ in rows for b, y, m, _ in rows if n == m and a < b}
     got = [tuple(r) for r in catalogue.queries()["q_edit_distance"](spark, d).select("id_a", "id_b", "edits").collect()]
     assert len(got) == len(set(got)) and set(got) == want and {0, 1, 2, 3} <= {e for _, _, e in want}
+
+
+def most_rows(spark, df):
+    """Rows of ``df``, and the most rows that any step of its run gave."""
+    rows = df.collect()
+    store = spark._jsparkSession.sharedState().statusStore()
+    runs = store.executionsList()
+    run = runs.apply(runs.size() - 1)
+    values, most = store.executionMetrics(run.executionId()), 0
+    for i in range(run.metrics().size()):
+        metric = run.metrics().apply(i)
+        if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+            most = max(most, int(values.apply(metric.accumulatorId()).split("\n")[-1].split(" ")[0].replace(",", "") or 0))
+    return rows, most
+
+
+def test_stops_of_one_place_are_met_once(spark, tables):
+    """300 stops at two places 2.9 km apart, and as many customers: no step gives all their pairs."""
+    keys = [k + 56000 * i for i in range(150) for k in (1, 2)]
+    d = tables(
+        supplier=([(k, f"S{k}", k % 3) for k in keys], "s_suppkey long, s_name string, s_nationkey int"),
+        customer=([(k,) for k in keys], "c_custkey long"),
+    )
+    rows, most = most_rows(spark, catalogue.queries()["q_nearest_area"](spark, d))
+    want = []
+    for k in keys:
+        found = [(int(metres(position(k), position(a))) * (16 if a % 2 == 0 else 10), a) for a in keys if a != k and a % 10 < 5 and metres(position(k), position(a)) <= 6000]
+        want += [(k, a, w) for w, a in sorted(found)[:1]]
+    assert sorted(map(tuple, rows)) == sorted(want) and len(want) == 300 and most < 5_000
+    rows, most = most_rows(spark, catalogue.queries()["q_reach_fallback"](spark, d))
+    near = {k: [m for a in keys if (m := metres(position(3 * k), position(a))) <= 15_000] for k in keys}
+    first = lambda m: next(((r, len([x for x in m if x <= r]) if r < 15_000 else 1) for r in (1500, 3000, 15_000) if any(x <= r for x in m)), (0, 0))
+    assert sorted(map(tuple, rows)) == sorted((k, *first(near[k])) for k in keys) and most < 20_000
+    rows = catalogue.queries()["q_components"](spark, d).collect()
+    assert sorted(map(tuple, rows)) == sorted((k, 1) for k in keys)
+    rows = catalogue.queries()["q_snap_slack"](spark, d).collect()
+    assert len(rows) == 300 * 149 and {r.m for r in rows} == {0}
