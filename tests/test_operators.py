@@ -141,3 +141,26 @@ def test_partners_of_ids_and_places_of_several_names_come_once(spark):
     assert sorted(map(tuple, matching.named_join(asked, index).collect())) == [(7, 1, 0, 1), (7, 2, 0, 1), (8, 3, 1, 1)]
     asked = asked.selectExpr("id", "explode(names) AS name")
     assert sorted(map(tuple, matching.skeleton_join(asked, index.selectExpr("*", "1 AS source"), 3).collect())) == [(7, 1), (7, 2)]
+
+
+def test_anchored_places_leave_few_and_lose_no_best_one(spark):
+    import math
+    import random
+
+    from switchyard.operators import matching
+
+    random.seed(5)
+    stops = {i: (i % 3, i % 2, 22.3 + random.random() * 0.8, 88 + random.random() * 0.7) for i in range(300)}
+    asked = spark.createDataFrame([(i, *row) for i, row in stops.items()], "id long, group long, route long, lat double, lon double")
+    few = matching.anchored_places(asked, asked.selectExpr("group", "id AS place", "lat", "lon")).collect()
+    kept = {(r.group, r.route, r.place) for r in few}
+
+    def far(a, b):
+        h = math.sin(math.radians(b[2] - a[2]) / 2) ** 2 + math.cos(math.radians(a[2])) * math.cos(math.radians(b[2])) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return math.asin(math.sqrt(h))
+
+    for i, row in stops.items():
+        mates = [m for k, m in stops.items() if k != i and m[1] == row[1]]
+        best = min((sum(far(p, m) for m in mates), k) for k, p in stops.items() if k != i and p[0] == row[0])[1]
+        assert (row[0], row[1], best) in kept
+    assert len(few) < 60  # of 600
