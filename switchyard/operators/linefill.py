@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from switchyard.operators import validation
-from switchyard.operators.validation import _on_line, km
+from switchyard.operators.spatial import radius_join
+from switchyard.operators.validation import km, on_lines, vertices
+from switchyard.storage import materialize
 
 # Kilometres and calls between the located neighbours, kilometres to the line, between what routes say.
 SPAN_KM, GAP, SNAP_KM, AGREE_KM = 3.0, 3, 0.5, 0.5
+#: Kilometres within which a guess has a vertex: half the span and a kilometre, widened for the earth's curve.
+REACH_KM = 1.1 * (SPAN_KM / 2 + validation.LINE_KM)
 
 
 def guesses(calls: DataFrame, points: DataFrame, lines: DataFrame) -> DataFrame:
@@ -29,12 +33,21 @@ def guesses(calls: DataFrame, points: DataFrame, lines: DataFrame) -> DataFrame:
     made = known.where("method = 'interpolated'").select("stop_id")
     for side in ("before", "after"):
         near = near.join(made.toDF("_made"), col(f"{side}.stop_id") == col("_made"), "left_anti")
-    met = near.join(lines, "route_id").where(_on_line(col("before"), col("line")) & _on_line(col("after"), col("line")))
+    near = materialize(near, "line-near")
+    vouched = on_lines(near.select("route_id", F.inline(F.array(*[F.struct(f"{side}.lat", f"{side}.lon") for side in ("before", "after")]))), lines)
+    vouched = materialize(vouched.select(col("route_id").alias("_route"), col("lat").alias("_lat"), col("lon").alias("_lon")), "line-ends")
+    met = near
+    for side in ("before", "after"):
+        met = met.join(vouched, (col("route_id") == col("_route")) & (col(f"{side}.lat") == col("_lat")) & (col(f"{side}.lon") == col("_lon")), "left_semi")
     share = (col("pos") - col("before.pos")) / (col("after.pos") - col("before.pos"))
     between = lambda c: col(f"before.{c}") + share * (col(f"after.{c}") - col(f"before.{c}"))
-    met = met.withColumn("guess", F.struct(between("lat").alias("lat"), between("lon").alias("lon")))
-    best = F.array_min(F.transform("line", lambda p, i: F.struct(km(col("guess"), p).alias("km"), i.alias("i"), p["lat"].alias("lat"), p["lon"].alias("lon"))))
-    return met.withColumn("b", best).select("stop_id", "route_id", "pos", "before", "after", F.struct("b.lat", "b.lon").alias("snapped"), col("b.km").alias("off_km"))
+    asked = met.select("route_id", "pos", between("lat").alias("lat"), between("lon").alias("lon"))
+    # a guess is within half the span of an end, and that within a kilometre of a vertex
+    top = asked.agg(F.max(F.abs("lat"))).first()[0]
+    reached = radius_join(asked, vertices(lines), 1000 * REACH_KM, on=["route_id"], max_lat=min((top or 0.0) + 0.1, 89.9))
+    nearest = reached.groupBy("route_id", "pos").agg(F.min(F.struct((col("distance_m") / 1000).alias("km"), "i", col("lat2").alias("lat"), col("lon2").alias("lon"))).alias("b"))
+    met = met.join(nearest, ["route_id", "pos"], "left")
+    return met.select("stop_id", "route_id", "pos", "before", "after", F.struct("b.lat", "b.lon").alias("snapped"), F.coalesce("b.km", F.lit(float("inf"))).alias("off_km"))
 
 
 def interpolated(calls: DataFrame, points: DataFrame, lines: DataFrame) -> DataFrame:
