@@ -173,3 +173,20 @@ def test_stops_of_one_place_are_met_once(spark, tables):
     assert sorted(map(tuple, rows)) == sorted((k, 1) for k in keys)
     rows = catalogue.queries()["q_snap_slack"](spark, d).collect()
     assert len(rows) == 300 * 149 and {r.m for r in rows} == {0}
+
+
+def test_rows_that_share_a_key_are_dealt(spark):
+    """They stood under one null key in the full join before, so all of them were one task's."""
+    from switchyard.operators import matching
+
+    left = spark.range(4000).selectExpr("id % 1000 AS number", "sequence(1, id % 3 + 1) AS stops").unionByName(spark.createDataFrame([(None, [1]), (None, [1, 2]), (5000, [1])], "number long, stops array<long>"))
+    right = spark.createDataFrame([(3, [1, 2, 3, 4]), (5000, [1, 2]), (6000, [7])], "number long, stops array<long>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = matching.merge_longer(left, right, "number").selectExpr("number", "size(stops) AS n", "source", "spark_partition_id() AS part").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    held = [r.part for r in got if r.source == "left" and r.number is not None]
+    assert len(held) == 4000 and max(map(held.count, set(held))) < 2000
+    others = sorted(((r.number, r.n, r.source) for r in got if r.number is None or r.source != "left"), key=str)
+    assert others == [(3, 4, "right"), (5000, 2, "both"), (6000, 1, "right"), (None, 1, "left"), (None, 2, "left")]
