@@ -10,15 +10,12 @@ the text before any splitting.
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import gc
 import re
 
 import numpy as np
-import pyarrow as pa
 
-from switchyard.llm.arrowtext import BoundedMemo
+from switchyard.llm.arrowtext import BoundedMemo, release
 
 #: White space as in Unicode's White_Space property, which the tokenizer's splitting uses.
 _WS = "\t-\r \x85\xa0  -     　"
@@ -58,16 +55,12 @@ class ChunkEncoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn(self, wanted: set[str]) -> None:
-        """Encode unseen chunks together: a newline between two chunks is always a token of its own."""
-        unseen = [c for c in wanted if c not in self.chunks]
-        if len(self.chunks) + len(unseen) > self.chunks.limit:
-            self.chunks.clear()
-            unseen = list(wanted)
-        joined = []
-        for c in unseen:
+    def _ids(self, chunks: list[str]) -> dict[str, bytes]:
+        """Encode chunks together: a newline between two chunks is always a token of its own."""
+        out, joined = {}, []
+        for c in chunks:
             if _BLANK.match(c):
-                self.chunks[c] = self._whole(c).tobytes()
+                out[c] = self._whole(c).tobytes()
             else:
                 joined.append(c)
         for at in range(0, len(joined), 20_000):
@@ -76,21 +69,39 @@ class ChunkEncoder:
             cuts = np.flatnonzero(ids == self.newline)
             raw, start = ids.tobytes(), 0
             for c, end in zip(part, [*(cuts * 4).tolist(), len(raw)], strict=True):
-                self.chunks[c] = raw[start:end]
+                out[c] = raw[start:end]
                 start = end + 4
+        return out
+
+    def _learn(self, wanted: set[str]) -> None:
+        """Memoise unseen chunks of texts off the quick path."""
+        unseen = [c for c in wanted if c not in self.chunks]
+        if len(self.chunks) + len(unseen) > self.chunks.limit:
+            self.chunks.clear()
+            unseen = list(wanted)
+        self.chunks.update(self._ids(unseen))
 
     def _learn_words(self, unseen: set[str]) -> None:
-        """Ids of words as :func:`pieces_of` gives them. Letters and the marks after them are chunks of their own."""
+        """Ids of words as :func:`pieces_of` gives them. Letters and the marks after them are chunks of their own.
+
+        A chunk with a space in front is a word too, so it is held as that word alone.
+        """
         parts = {}
         for w in unseen:
             body = w[1:] if w[0] == "\n" else " " + w
             core = body.rstrip(_MARKS)
             parts[w] = (core, body[len(core) :]) if len(core) < len(body) and core.removeprefix(" ").isalpha() else (body,)
-        self._learn({c for p in parts.values() for c in p})
+        ids = {c: self.words.get(c[1:]) if c[0] == " " else self.chunks.get(c) for p in parts.values() for c in p}
+        fresh = self._ids([c for c, x in ids.items() if x is None])
+        ids.update(fresh)
         line = np.array([self.newline], dtype="<u4").tobytes()
-        self.words.room_for(len(parts))
+        self.words.room_for(len(parts) + len(fresh))
+        self.words.update((c[1:], x) for c, x in fresh.items() if c[0] == " ")
         for w, p in parts.items():
-            self.words[w] = (line if w[0] == "\n" else b"") + b"".join(map(self.chunks.__getitem__, p))
+            self.words[w] = (line if w[0] == "\n" else b"") + b"".join(map(ids.__getitem__, p))
+        ends = [c for c in fresh if c[0] in _MARKS]
+        self.chunks.room_for(len(ends))
+        self.chunks.update((c, fresh[c]) for c in ends)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Null counts as empty. Equal to the library's encode(add_special_tokens=False) on each text."""
@@ -140,14 +151,12 @@ class ChunkEncoder:
 def encoder(path: str) -> ChunkEncoder:
     """This worker's encoder for a tokenizer file; it outlives single tasks."""
     if path not in _OPEN:
+        release()  # of what the worker's earlier tasks held, whatever they were
         _OPEN[path] = ChunkEncoder(path)
     return _OPEN[path]
 
 
 def forget() -> None:
     """Give back the memory of this worker's encoders to the machine, before work of another kind."""
-    if _OPEN:
-        _OPEN.clear()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
-            ctypes.CDLL(None).malloc_trim(0)
+    _OPEN.clear()
+    release()

@@ -114,3 +114,24 @@ def test_empty_table_and_long_ids(spark, docs, tmp_path):
     named = docs.selectExpr("concat('n', doc_id) as name", "text as body")
     token_files.write(named, f"file://{tmp_path}/named", BPE, doc_id="name", text="body")
     assert {r.doc_id for r in token_files.read(spark, f"file://{tmp_path}/named", id_type="string").collect()} == {f"n{i}" for i in [*range(8), -5]} | {None}
+
+
+def test_an_encoder_holds_a_word_once(monkeypatch):
+    """A word's letters were held as a chunk and as a word before, and memory of ended tasks stayed with a worker that had no encoder yet."""
+    import public_tokenizers
+
+    from switchyard.llm import byte_bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    made, words = byte_bpe.ChunkEncoder(path), [f"{a}rimo{b}" for a in "bdfgklmnprst" for b in "aeiou"]
+    texts = [" ".join(f"{w}, {w} {w}." for w in words), "\n".join(words), "...,, *. (a) b1, x\ny,", "  odd \t text, "]
+    for text, got in zip(texts, made.encode(texts), strict=True):
+        assert got == made._whole(text).tobytes()
+    assert made.encode(texts) == [made._whole(t).tobytes() for t in texts]
+    assert len(made.words) + len(made.chunks) < 4 * len(words) + 30
+    called = []
+    monkeypatch.setattr(byte_bpe, "release", lambda: called.append(1))
+    monkeypatch.setattr(byte_bpe, "_OPEN", {})
+    byte_bpe.encoder(path)
+    byte_bpe.encoder(path)
+    assert len(called) == 1
