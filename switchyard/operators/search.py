@@ -140,36 +140,48 @@ def candidates(found_in: DataFrame, asked: DataFrame, fuzzy: bool) -> DataFrame:
 
 
 def _scored(found_in: DataFrame, asked: DataFrame, pairs: DataFrame, fuzzy: bool) -> DataFrame:
-    rows = pairs.join(asked, "query_id").join(found_in, "id").select("query_id", "query", "id", "key", "lat", "lon", "toks", "alt_toks", "context", "rank", "name")
+    rows = pairs.join(asked, "query_id").join(found_in, "id").select("query_id", "query", "id", "key", "copies", "toks", "alt_toks", "context", "rank", "name")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [score(list(r.query), list(r.toks), [list(a) for a in r.alt_toks], list(r.context), r.rank, r.name, fuzzy) for r in batch.itertuples(index=False)]
-            out = batch[["query_id", "id", "key", "lat", "lon"]].assign(score=pd.Series(found, index=batch.index, dtype="float64"))
+            out = batch[["query_id", "id", "key", "copies"]].assign(score=pd.Series(found, index=batch.index, dtype="float64"))
             out = out[out["score"].notna()]
             yield out.assign(score=out["score"] - FUZZY_COST) if fuzzy else out
 
-    return rows.mapInPandas(run, "query_id long, id long, key string, lat double, lon double, score double")
+    return rows.mapInPandas(run, "query_id long, id long, key string, copies long, score double")
+
+
+def _contents(found_in: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(contents, shown): entries that differ in id and place alone are one content, with ``copies`` and ``id`` its number;
+    ``shown(content, cell_lat, cell_lon, id)`` holds of each content and cell the least id, the only one that can be shown."""
+    kept = ["name", "rank", "toks", "key", "alt_toks", "context"]
+    cell = [F.floor(F.col(c) * 50 + 0.5).alias(f"cell_{c}") for c in ("lat", "lon")]
+    cells = found_in.groupBy(*kept, *cell).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    # the least id of a content is its number, so equal runs number alike
+    cells = materialize(cells.withColumn("content", F.min("id").over(Window.partitionBy(*kept))), "search-cells")
+    contents = cells.groupBy("content").agg(*[F.min(c).alias(c) for c in kept], F.sum("copies").alias("copies")).withColumnRenamed("content", "id")
+    return materialize(contents, "search-contents"), cells.select("content", "cell_lat", "cell_lon", "id")
 
 
 def search_all(found_in: DataFrame, texts: DataFrame) -> DataFrame:
     """query_id, rank, id, score: up to 8 for each of ``texts(query_id, text)``, one per key and cell of 0.02 degrees.
 
     Queries with under five strict hits get a pass that forgives spelling mistakes. Queries of under two characters or
-    no token find nothing.
+    no token find nothing. Entries of like content are found and scored once.
     """
-    found_in = materialize(found_in, "search-entries")
+    contents, cells = _contents(found_in)
     asked = texts.select(F.col("query_id").cast("long").alias("query_id"), F.trim("text").alias("text")).where(F.length("text") >= 2)
     asked = materialize(asked.select("query_id", names.tokens(F.col("text")).alias("query")).where(F.size("query") > 0), "search-asked")
-    strict = materialize(_scored(found_in, asked, candidates(found_in, asked, False), False), "search-strict")
-    enough = strict.groupBy("query_id").count().where(F.col("count") >= FEW)
+    strict = materialize(_scored(contents, asked, candidates(contents, asked, False), False), "search-strict")
+    enough = strict.groupBy("query_id").agg(F.sum("copies").alias("n")).where(F.col("n") >= FEW)
     again = materialize(asked.where(F.length(F.array_join("query", "")) >= 4).join(enough, "query_id", "left_anti"), "search-again")
     hits = strict
     if again.take(1):
-        pairs = candidates(found_in, again, True).join(strict.select("query_id", "id"), ["query_id", "id"], "left_anti")
-        hits = strict.unionByName(_scored(found_in, again, pairs, True))
-    cell = [F.floor(F.col(c) * 50 + 0.5).alias(f"cell_{c}") for c in ("lat", "lon")]
-    best = hits.groupBy("query_id", "key", *cell).agg(F.min(F.struct((-F.col("score")).alias("s"), "id")).alias("b"))
+        pairs = candidates(contents, again, True).join(strict.select("query_id", "id"), ["query_id", "id"], "left_anti")
+        hits = strict.unionByName(_scored(contents, again, pairs, True))
+    met = hits.withColumnRenamed("id", "content").join(cells, "content")
+    best = met.groupBy("query_id", "key", "cell_lat", "cell_lon").agg(F.min(F.struct((-F.col("score")).alias("s"), "id")).alias("b"))
     shown = best.select("query_id", F.col("b.id").alias("id"), (-F.col("b.s")).alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return shown.withColumn("rank", place).where(F.col("rank") <= SHOWN).select("query_id", "rank", "id", "score")

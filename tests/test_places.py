@@ -144,3 +144,15 @@ def test_search_by_index_equals_scoring_everything(spark):
             best[cell] = min(best.get(cell, (1e9, 0)), (-s, i))
         want |= {(q, i): round(-s, 9) for s, i in sorted(best.values())[: search.SHOWN]}
     assert got == want and len(got) > 100
+
+
+def test_like_entries_are_scored_once(spark, monkeypatch):
+    """Every entry was scored for itself before, so copies of a name at many places cost as many scores."""
+    rows = [(i, "lake market", ["mkt"], None, "stop", 1, 22.0 + i % 7 * 0.1, 88.0) for i in range(90, 0, -1)] + [(200, "lake town", [], None, "stop", 1, 22.0, 88.0)]
+    entries = search.entries(spark.createDataFrame(rows, "id long, name string, alts array<string>, area string, type string, rank int, lat double, lon double"))
+    scored, asked = [], spark.createDataFrame([(1, "lake mar"), (2, "lake towm")], "query_id long, text string")
+    plain = search._scored
+    monkeypatch.setattr(search, "_scored", lambda found_in, asked, pairs, fuzzy: scored.append(pairs.count()) or plain(found_in, asked, pairs, fuzzy))
+    got = {(r.query_id, r["rank"]): r.id for r in search.search_all(entries, asked).collect()}
+    assert got == {(1, n): n for n in range(1, 8)} | {(2, 1): 200}
+    assert scored == [1, 1]  # 90 strict hits of one content are enough for the first query; the second alone is asked again
