@@ -14,16 +14,16 @@ One newline byte follows every section and every block. All numbers are
 little-endian. 64 ids fill ``width`` whole 64-bit words, so both directions are
 64 shifts over whole columns of numpy arrays.
 
-Spark writes the files: documents are encoded where they are read, and their ids
-written once. These rows, a fraction of the texts, are dealt into ranges of
-ascending document id (ties by the ids' hash, then by their place in the scan, so
-that even a table of equal rows spreads); each task packs its range and hands its
+Spark writes the files: ranges of ascending document id (ties by the text's hash, then
+by place in the scan, so that even a table of equal rows spreads) are found from
+those keys alone. Documents are encoded where they are read, and their ids go
+straight to the task of their range, so that they lie on disk twice, in the shuffle and in the files; each task packs its range and hands its
 sections over as raw lines, which Spark's own writer commits. No task holds more
 than a batch of documents and the tables of its own file, no local folder is used
 and a lost task is done again.
 
 Defined cases: a null or empty text is just the end id; null ids come first;
-rows equal in id are ordered by their ids' hash; repeated rows are written each
+rows equal in id are ordered by their text's hash; repeated rows are written each
 for itself; a very long text runs over as many blocks as it needs; an empty
 table makes no document; other columns are ignored.
 """
@@ -46,8 +46,8 @@ from switchyard.storage import discard, materialize
 
 MAGIC, BLOCK, _GROUP = b"SWYTOK01", 4096, 64
 _TRAILER = struct.Struct("<8s6Q")
-#: Ids that one file takes, about.
-FILE_IDS = 1 << 24
+#: Ids that one file takes, about, and bytes of text for an id, by which the number of files is set before there are ids.
+FILE_IDS, ID_BYTES = 1 << 24, 4
 
 
 def width_for(vocabulary: int) -> int:
@@ -186,9 +186,9 @@ class Packer:
         yield self._section(_TRAILER.pack(MAGIC, self.n_ids, len(self.blocks), documents, offsets, self.number, self.width))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
-    """doc_id, n_ids and ids of every document, with the end id: little-endian, of two bytes where the vocabulary allows, else four."""
-    source = need(docs, doc_id=doc_id, text=text)
+def encode(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, kept: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_ids, ids and the columns ``kept`` of every document, with the end id: little-endian, of two bytes where the vocabulary allows, else four."""
+    source = need(docs, doc_id=doc_id, text=text, **{c: c for c in kept})
     kind, end = source.schema["doc_id"].dataType.simpleString(), np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,9 +201,10 @@ def encode(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text
                 ids = np.frombuffer(end.join([*raw, b""]), "<u4").astype(form)
                 places = np.concatenate([[0], np.cumsum(sizes)]) * ids.itemsize
                 held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(raw), [None, pa.py_buffer(places), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), held.cast(pa.binary())], ["doc_id", "n_ids", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), held.cast(pa.binary()), *part.columns[2:]], ["doc_id", "n_ids", "ids", *kept])
 
-    return source.mapInArrow(run, f"doc_id {kind}, n_ids long, ids binary")
+    also = "".join(f", {c} {source.schema[c].dataType.simpleString()}" for c in kept)
+    return source.mapInArrow(run, f"doc_id {kind}, n_ids long, ids binary{also}")
 
 
 def _whole_bytes(width: int) -> str:
@@ -219,12 +220,17 @@ def vocabulary(tokenizer_path: str) -> int:
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, file_ids: int = FILE_IDS) -> None:
     """Writes all documents in ascending order of id below ``path``, one file for about ``file_ids`` ids."""
-    encoded = encode(docs, tokenizer_path, doc_id=doc_id, text=text, end_id=end_id)
-    encoded = materialize(encoded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
-    held, width = encoded.agg(F.sum("n_ids")).first()[0] or 0, width_for(vocabulary(tokenizer_path))
+    source, width = need(docs, doc_id=doc_id, text=text), width_for(vocabulary(tokenizer_path))
     form = _whole_bytes(width)
+    source = source.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("row")]
-    dealt = encoded.withColumn("tie", F.xxhash64("ids")).repartitionByRange(max(1, math.ceil(held / file_ids)), *order).sortWithinPartitions(*order)
+    size = source.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) / ID_BYTES + 1)).first()[0] or 0
+    firsts = _firsts(source.select("doc_id", "tie", "row"), order, max(1, math.ceil(size / file_ids)))
+    dealt = source if firsts is None else source.crossJoin(F.broadcast(firsts)).withColumn("file", _file()).drop("firsts", "groups")
+    dealt = dealt.withColumn("file", F.lit(0)) if firsts is None else dealt
+    files = 1 if firsts is None else firsts.select(F.aggregate("firsts", F.lit(1), lambda n, g: n + F.size(g))).first()[0]
+    encoded = encode(dealt, tokenizer_path, end_id=end_id, kept=("tie", "row", "file"))
+    dealt = encoded.repartitionById(files, F.col("file")).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -246,7 +252,35 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, *, doc_id: str = "doc
     sections = dealt.select("doc_id", "ids").mapInArrow(run, "section binary")
     # A text line may hold any bytes; the writer adds the newline that the format has after every section.
     sections.select(F.col("section").cast("string").alias("value")).write.option("compression", "none").option("maxRecordsPerFile", 0).option("lineSep", "\n").text(path)
-    discard(encoded)
+    if firsts is not None:
+        discard(firsts)
+
+
+def _firsts(keys: DataFrame, order: list, files: int) -> DataFrame | None:
+    """One row of ``firsts``, the first keys of all files but the first in groups of some thirty, and ``groups``, the first key of
+    every group but the first; None for a single file. Keys alone are dealt to find them."""
+    if files < 2:
+        return None
+    key = F.struct("doc_id", "tie", "row").alias("key")
+    dealt = keys.repartitionByRange(files, *order).select(key)
+    each = dealt.groupBy(F.spark_partition_id().alias("file")).agg(F.min("key").alias("key"))
+    sorted_keys = F.array_sort(F.collect_list("key"))
+    step = max(2, math.isqrt(files))
+    row = each.agg(sorted_keys.alias("all")).select(F.slice("all", 2, files).alias("all")).where(F.size("all") > 0)
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("all") - 1) / step).cast("int")), lambda i: F.slice(F.col("all"), i * step + 1, step))
+    row = row.select(cut.alias("firsts")).withColumn("groups", F.transform(F.slice("firsts", 2, files), lambda g: F.get(g, 0)))
+    row = materialize(row, "token-ranges")
+    if row.take(1):
+        return row
+    discard(row)
+    return None
+
+
+def _file():
+    """The number of a row's file: how many firsts lie at or before its key. Its group is looked up first, then its place there."""
+    step, key = F.size(F.get("firsts", F.lit(0))), F.struct("doc_id", "tie", "row")
+    group = F.size(F.filter("groups", lambda g: g <= key))
+    return (group * step + F.size(F.filter(F.get("firsts", group), lambda f: f <= key))).cast("int")
 
 
 def crc32(ids: np.ndarray) -> int:

@@ -135,3 +135,11 @@ def test_an_encoder_holds_a_word_once(monkeypatch):
     byte_bpe.encoder(path)
     byte_bpe.encoder(path)
     assert len(called) == 1
+
+
+def test_ids_are_not_written_as_rows(spark, docs, tmp_path, monkeypatch):
+    """Ids lay on disk three times before: as rows, in the shuffle and in the files."""
+    written, materialize = [], token_files.materialize
+    monkeypatch.setattr(token_files, "materialize", lambda df, name: written.append(df.columns) or materialize(df, name))
+    token_files.write(docs, f"file://{tmp_path}/t", BPE, file_ids=500)
+    assert written == [["firsts", "groups"]] and len(glob.glob(f"{tmp_path}/t/part-*")) > 9
