@@ -164,3 +164,31 @@ def test_anchored_places_leave_few_and_lose_no_best_one(spark):
         best = min((sum(far(p, m) for m in mates), k) for k, p in stops.items() if k != i and p[0] == row[0])[1]
         assert (row[0], row[1], best) in kept
     assert len(few) < 60  # of 600
+
+
+def test_anchored_nearest_makes_no_row_of_a_pair(spark, monkeypatch):
+    """Sums of blocks equal all distances, with blocks of any size; two places at one spot are told apart by their id."""
+    import math
+    import random
+
+    monkeypatch.setattr(matching, "_BLOCK", 7)
+    rng = random.Random(3)
+    rows = [(i, i % 3, i % 2, 22 + rng.random() / 2, 88 + rng.random() / 2) for i in range(90)] + [(90, 0, 5, 22.2, 88.2), (91, 0, 0, 22.21, 88.21)]
+    rows = [(*r[:3], 22.25, 88.25) if r[0] in (30, 33, 36) else r for r in rows]
+    asked = spark.createDataFrame(rows, "id long, group int, route int, lat double, lon double")
+
+    def far(a, b):
+        h = math.sin(math.radians(b[3] - a[3]) / 2) ** 2 + math.cos(math.radians(a[3])) * math.cos(math.radians(b[3])) * math.sin(math.radians(b[4] - a[4]) / 2) ** 2
+        return 2 * 6_371_000.0 * math.asin(math.sqrt(h))
+
+    want = {}
+    for a in rows:
+        mates = [m for m in rows if m[2] == a[2] and m[0] != a[0]]
+        means = [(round(sum(far(p, m) for m in mates) / len(mates), 6), p[0]) for p in rows if p[1] == a[1] and p[0] != a[0] and mates]
+        if means and min(means)[0] < 18_500:
+            want[a[0]] = min(means)[1]
+    result = matching.anchored_nearest(asked, asked.selectExpr("group", "id AS place", "lat", "lon"), 18_500.0)
+    assert dict(map(tuple, result.collect())) == want and 0 < len(want) < len(rows) - 1
+    # 92 ids and 46 blocks of at most 7 rows a route and group, where pairs were 92 x 46 rows
+    _, shuffled = shuffled_rows(spark, matching._summed(asked, asked.selectExpr("group", "id AS place", "lat", "lon")))
+    assert shuffled < 92 * 46 / 2
