@@ -192,3 +192,21 @@ def test_anchored_nearest_makes_no_row_of_a_pair(spark, monkeypatch):
     # 92 ids and 46 blocks of at most 7 rows a route and group, where pairs were 92 x 46 rows
     _, shuffled = shuffled_rows(spark, matching._summed(asked, asked.selectExpr("group", "id AS place", "lat", "lon")))
     assert shuffled < 92 * 46 / 2
+
+
+def test_partners_meet_in_blocks(spark, monkeypatch):
+    """A key's ids and places meet as arrays, whose pairs no join makes; blocks of any size give the same pairs."""
+    monkeypatch.setattr(matching, "_BLOCK", 16)
+    names, ids, places = ["College Street", "Salt Lake City", "Howrah Station"], range(100), range(140)
+    index = spark.createDataFrame([(p, names[p % 3], p % 2) for p in places], "place long, name string, source long")
+    asked = spark.createDataFrame([(i, ["nowhere", names[i % 2]]) for i in ids], "id long, names array<string>")
+    rows = matching.named_join(asked, index.select("place", "name")).collect()
+    assert sorted(map(tuple, rows)) == [(i, p, 1, 1) for i in ids for p in places if p % 3 == i % 2]
+    result = matching.skeleton_join(asked.selectExpr("id", "names[1] AS name"), index)
+    assert sorted(map(tuple, result.collect())) == [(i, p) for i in ids for p in places if p % 3 == i % 2 and p % 2 == 0]
+    assert "Generate explode(_places" in result._jdf.queryExecution().optimizedPlan().toString()
+    # the key of a spelling is worked out once
+    made = []
+    monkeypatch.setattr(matching, "materialize", lambda df, name, write=matching.materialize: made.append((name, df.count())) or write(df, name))
+    matching.skeleton_join(asked.selectExpr("id", "names[1] AS name"), index)
+    assert [n for name, n in made if name == "name-keys"] == [3, 2]
